@@ -33,9 +33,9 @@ from tidepanel.llm.common import arrow_rows
 SAMPLE = 400
 BITS = 16
 #: Log units that a change of language costs.
-PENALTY = 12.0
+PENALTY = 16.0
 #: Different words whose scores a worker remembers.
-MEMO = 300_000
+MEMO = 500_000
 #: Unicode ranges of scripts, by their first and last code points.
 SCRIPTS = {
     "latin": ((0x41, 0x24F), (0x1E00, 0x1EFF)), "greek": ((0x370, 0x3FF), (0x1F00, 0x1FFF)), "cyrillic": ((0x400, 0x52F),),
@@ -80,6 +80,7 @@ class Model:
         self.logs = np.log(smooth / smooth.sum(0)).astype(np.float32)
         self.logs -= self.logs.mean(1, keepdims=True)  # only differences between languages count
         self.allowed = {s: np.array([x in found for x in langs]) for s, found in scripts.items()}
+        self.narrows = not all(ok.all() for ok in self.allowed.values())
         self.memo: dict[str, int] = {}
         self.table = np.zeros((1024, len(langs)), np.float32)
 
@@ -90,7 +91,7 @@ class Model:
             grams, owner = ngrams(new)
             n = np.bincount(owner, minlength=len(new)).astype(np.float32)
             sums = np.stack([np.bincount(owner, self.logs[grams, k], len(new)) for k in range(len(self.langs))], 1) / np.sqrt(n)[:, None]
-            for i, w in enumerate(new):
+            for i, w in enumerate(new) if self.narrows else ():
                 # a script that some languages write leaves only those
                 if (ok := self.allowed.get(script_of(w))) is not None and not ok.all() and ok.any():
                     sums[i, ~ok] = sums[i, ok].min() - 2 * self.penalty
@@ -99,22 +100,29 @@ class Model:
                 self.table = np.concatenate([self.table, np.zeros_like(self.table)])
             self.table[base : base + len(new)] = sums
             self.memo.update(zip(new, range(base, base + len(new)), strict=True))
-        return self.table[np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))].astype(np.float64)
+        return self.table[np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))]
+
+    def constant(self, scores: np.ndarray) -> int | None:
+        """The language of the Viterbi path, if that is constant for certain."""
+        best = int(scores.sum(0, dtype=np.float64).argmax())
+        for k in range(scores.shape[1]):
+            if k != best:
+                sums = np.cumsum(scores[:, k] - scores[:, best], dtype=np.float64)
+                lows = np.minimum.accumulate(sums)
+                if max(sums[0], (sums[1:] - np.minimum(lows[:-1], 0)).max(initial=0)) > self.penalty:
+                    return None
+        return best
 
     def path(self, scores: np.ndarray) -> np.ndarray:
         """The Viterbi path: a language number per word; ties go to staying, then to the first language."""
-        total = scores.sum(0)
-        best = int(total.argmax())
-        sums = np.cumsum(scores - scores[:, best : best + 1], 0)
-        lows = np.minimum(np.minimum.accumulate(np.concatenate([np.zeros((1, scores.shape[1])), sums[:-1]]), 0), 0)
-        if (sums - lows).max() <= self.penalty:
+        if (best := self.constant(scores)) is not None:
             return np.full(len(scores), best)
         rows, back, run = scores.tolist(), [], [0.0] * len(self.langs)
         for row in rows:
             top = max(run)
-            k = run.index(top)
-            back.append([(j if run[j] >= top - self.penalty else k) for j in range(len(row))])
-            run = [max(run[j], top - self.penalty) + row[j] for j in range(len(row))]
+            k, least = run.index(top), top - self.penalty
+            back.append([j if x >= least else k for j, x in enumerate(run)])
+            run = [(x if x >= least else least) + y for x, y in zip(run, row, strict=True)]
         at, out = run.index(max(run)), np.zeros(len(rows), np.int64)
         for t in range(len(rows) - 1, -1, -1):
             out[t] = at
@@ -122,10 +130,13 @@ class Model:
         return out
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        words = [w.lower() for w in LETTERS.findall(text)] if text else []
+        words = LETTERS.findall(text.lower()) if text else []
         if not words or not self.langs:
             return "und", 0.0
         scores = self.word_scores(words)
+        if (best := self.constant(scores)) is not None:
+            share = np.exp((mean := scores.sum(0, dtype=np.float64) / np.sqrt(len(scores))) - mean.max())
+            return self.langs[best], float(share[best] / share.sum())
         way = self.path(scores)
         sizes = np.bincount(way, np.fromiter(map(len, words), np.float64, len(words)), len(self.langs))
         best = int(sizes.argmax())
