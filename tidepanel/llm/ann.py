@@ -5,13 +5,17 @@ for a vector and 0 for a query, with M the largest norm. Vectors are dealt into
 lists around centroids; a query probes its nearest lists. Within a list, vectors are
 rotated at random and read in blocks of columns: after d of D coordinates the partial
 distance, scaled by D / d, is an estimate whose error has a known law, so a candidate is
-abandoned when it lies beyond the query's current 20th distance by more than that law
-allows (``EPSILON``). Survivors get the exact inner product of the original vectors in
+abandoned when it lies beyond the query's current k-th distance by more than that law
+allows (``EPSILON``). The k-th distance starts from the ``SPARE`` x k-th in the sample, whose
+vectors are rows of the table. A query that finds fewer than k that way searches all lists
+without it. Survivors get the exact inner product of the original vectors in
 double precision.
 
-Centroids are fitted on at most ``SAMPLE`` vectors; every vector is indexed. A list has
-about ``PER_LIST`` vectors, so the work of a query doesn't grow with the table (up to
-``MAX_LISTS`` lists). Long lists are dealt in parts. Of equal vectors only the
+Centroids are fitted on at most ``SAMPLE`` vectors; every vector is indexed. How many
+lists a query probes is measured on that sample: the smallest share of lists that holds
+``COVERAGE`` of the true neighbours of ``TRIAL`` of its vectors. Where vectors form
+clusters that is a few lists; where they have no structure no index can skip much.
+A list has about ``PER_LIST`` vectors (up to ``MAX_LISTS`` lists). Long lists are dealt in parts. Of equal vectors only the
 ``k + 1`` smallest ids can be among the nearest, so only they are candidates, which is
 exact; equal queries are searched once. So copies make no list, part or query hot.
 
@@ -32,9 +36,11 @@ from pyspark.sql import functions as F
 from tidepanel.llm.common import arrow_schema, cut
 
 SAMPLE = 20_000
-PER_LIST = 256
+PER_LIST = 1024
 MAX_LISTS = 16_384
-PROBES = 24
+COVERAGE = 0.97
+TRIAL = 500
+SPARE = 3
 #: Rows of a list that one task scans at once.
 PART = 2048
 #: Columns of a block, and the tolerance of the test that abandons candidates.
@@ -50,9 +56,9 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
 class Index:
     """Centroids and rotation; what every task holds."""
 
-    def __init__(self, sample: np.ndarray, lists: int, top: float, seed: int = 3) -> None:
+    def __init__(self, sample: np.ndarray, lists: int, top: float, k: int = 20, coverage: float = COVERAGE, seed: int = 3) -> None:
         draw = np.random.default_rng(seed)
-        self.top, self.width = top, sample.shape[1]
+        self.top, self.width, self.distinct = top, sample.shape[1], np.unique(sample, axis=0)
         self.rotation = np.linalg.qr(draw.standard_normal((self.width + 1, self.width + 1)))[0]
         points = self.rotate(sample)
         centers = points[draw.permutation(len(points))[:lists]]
@@ -63,6 +69,19 @@ class Index:
             sizes = np.bincount(near, minlength=len(centers))
             centers = np.where(sizes[:, None] > 0, sums / np.maximum(sizes, 1)[:, None], centers)
         self.centers = centers
+        trial = sample[draw.permutation(len(sample))[:TRIAL]]
+        own, way = self.lists_of(sample, 1, False)[:, 0], self.lists_of(trial, lists, True)
+        place = np.argsort(way, 1)  # place[i, l]: how near list l is to trial vector i
+        true = np.argsort(-(trial @ sample.T), 1, kind="stable")[:, 1 : k + 1]
+        needed = np.sort(np.take_along_axis(place, own[true], 1).ravel())
+        self.probes = int(needed[min(len(needed) - 1, int(coverage * len(needed)))]) + 1 if len(needed) else 1
+
+    def floor(self, queries: np.ndarray, k: int) -> np.ndarray:
+        """A score that at least k different vectors of the table reach, for each query."""
+        if len(self.distinct) < k:
+            return np.full(len(queries), -np.inf)
+        scores = queries @ self.distinct.T
+        return np.partition(scores, -k, 1)[:, -k] - 1e-9 * np.abs(scores).max(1)
 
     def rotate(self, vectors: np.ndarray, query: bool = False) -> np.ndarray:
         more = np.zeros(len(vectors)) if query else np.sqrt(np.maximum(self.top - (vectors**2).sum(1), 0))
@@ -80,7 +99,7 @@ class Index:
         return self._nearest(self.rotate(vectors, query), self.centers, min(n, len(self.centers)))
 
 
-def scan(index: Index, queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int, block: int = BLOCK, epsilon: float = EPSILON) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def scan(index: Index, queries: np.ndarray, floor: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int, block: int = BLOCK, epsilon: float = EPSILON) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Query number, id and score of the k nearest that survive, for each query."""
     a, b = index.rotate(queries, True), index.rotate(vectors)
     width, first = a.shape[1], min(len(b), max(64, 2 * k))
@@ -90,7 +109,8 @@ def scan(index: Index, queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray
 
     q, v = (x.ravel() for x in np.meshgrid(np.arange(len(a)), np.arange(first), indexing="ij"))
     if len(b) > first:
-        limit = np.partition(far(b[:first], slice(None)), k - 1, 1)[:, k - 1]  # the current k-th distance, squared
+        # the current k-th distance, squared
+        limit = np.minimum(np.partition(far(b[:first], slice(None)), k - 1, 1)[:, k - 1], (a**2).sum(1) + index.top - 2 * floor)
         alive_q, alive_v, partial = None, None, np.zeros((len(a), len(b) - first))
         for start in range(0, width, block):
             cols = slice(start, min(start + block, width))
@@ -110,6 +130,8 @@ def scan(index: Index, queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray
             alive_q, alive_v = np.nonzero(keep)
         q, v = np.r_[q, alive_q], np.r_[v, first + alive_v]
     score = np.einsum("ij,ij->i", queries[q], vectors[v])
+    near = score >= floor[q]
+    q, v, score = q[near], v[near], score[near]
     order = np.lexsort((ids[v], -score, q))
     q, v, score = q[order], v[order], score[order]
     rank = np.arange(len(q)) - np.searchsorted(q, q)
@@ -125,7 +147,7 @@ def usable(embeddings: DataFrame) -> DataFrame:
     return rows.where(F.size("vec") == (sizes[0]["w"] if sizes else 0))
 
 
-def nearest(embeddings: DataFrame, every: int = 20, k: int = 20, probes: int = PROBES, per_list: int = PER_LIST, sample: int = SAMPLE) -> DataFrame:
+def nearest(embeddings: DataFrame, every: int = 20, k: int = 20, coverage: float = COVERAGE, per_list: int = PER_LIST, sample: int = SAMPLE) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest of every row whose vec_id ``every`` divides."""
     spark = embeddings.sparkSession
     rows = cut(usable(embeddings), "vectors")
@@ -134,8 +156,8 @@ def nearest(embeddings: DataFrame, every: int = 20, k: int = 20, probes: int = P
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     few = np.array([r[0] for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("vec").collect()])  # at most `sample` rows
     width = few.shape[1]
-    lists = int(max(1, min(MAX_LISTS, len(few) // 4 + 1, -(-n // per_list))))
-    index = spark.sparkContext.broadcast(Index(few, lists, top))  # bounded by the number of lists
+    lists = int(max(1, min(MAX_LISTS, len(few) // 8 + 1, -(-n // per_list))))
+    index = spark.sparkContext.broadcast(Index(few, lists, top, k, coverage))  # bounded by the sample
     # of equal vectors, only the k + 1 smallest ids; first within salts, so many copies don't meet in one task
     salt = F.pmod(F.xxhash64("vec_id"), F.lit(64))
     same = lambda *more: Window.partitionBy(F.xxhash64("vec"), "vec", *more).orderBy("vec_id")
@@ -144,13 +166,13 @@ def nearest(embeddings: DataFrame, every: int = 20, k: int = 20, probes: int = P
     asked = rows.where(F.col("vec_id") % every == 0)
     one_each = asked.groupBy("vec").agg(F.min("vec_id").alias("qrep"))
 
-    def assign(times: int, query: bool):
+    def assign(probes: int, query: bool):
         target = arrow_schema("list int, id bigint, vec array<double>")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 if batch.num_rows:
-                    found = index.value.lists_of(_matrix(batch.column(1), width), times, query)
+                    found = index.value.lists_of(_matrix(batch.column(1), width), probes, query)
                     take = pa.array(np.repeat(np.arange(batch.num_rows), found.shape[1]))
                     yield pa.RecordBatch.from_arrays([pa.array(found.ravel(), pa.int32()), batch.column(0).take(take), batch.column(1).take(take)], schema=target)
 
@@ -160,24 +182,35 @@ def nearest(embeddings: DataFrame, every: int = 20, k: int = 20, probes: int = P
     sizes = vectors.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
     parts = cut(sizes, "parts").withColumnRenamed("list", "l")  # a row per list: Spark broadcasts it while small
     dealt = vectors.join(parts, F.col("list") == F.col("l")).select("list", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), "id", "vec")
-    asking = one_each.select("qrep", "vec").mapInArrow(assign(probes, True), "list int, id bigint, vec array<double>")
-    asking = asking.join(parts, F.col("list") == F.col("l")).select("list", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "id", "vec")
-
-    def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = [], [], []
-        if left.num_rows and right.num_rows:
-            vecs, ids, names = _matrix(left.column("vec"), width), left.column("id").to_numpy(), right.column("id").to_numpy()
-            asks = _matrix(right.column("vec"), width)
-            for at in range(0, len(asks), 1024):
-                q, i, s = scan(index.value, asks[at : at + 1024], vecs, ids, min(k + 1, len(ids)))
-                for held, x in zip(out, (names[at + q], i, s), strict=True):
-                    held.append(x)
-        cols = [np.concatenate(x) if x else np.zeros(0, kind) for x, kind in zip(out, (np.int64, np.int64, np.float64), strict=True)]
-        return pa.table(dict(zip(("qrep", "vec_id", "score"), map(pa.array, cols), strict=True)))
-
-    hits = dealt.groupBy("list", "part").cogroup(asking.groupBy("list", "part")).applyInArrow(search, "qrep bigint, vec_id bigint, score double")
-    best = Window.partitionBy("qrep").orderBy(F.desc("score"), "vec_id")
-    hits = cut(hits.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).drop("r"), "hits")
+
+    def hits(queries: DataFrame, probes: int, bounded: bool) -> DataFrame:
+        def search(left: pa.Table, right: pa.Table) -> pa.Table:
+            out = [], [], []
+            if left.num_rows and right.num_rows:
+                vecs, ids, names = _matrix(left.column("vec"), width), left.column("id").to_numpy(), right.column("id").to_numpy()
+                asks = _matrix(right.column("vec"), width)
+                for at in range(0, len(asks), 1024):
+                    part = asks[at : at + 1024]
+                    floor = index.value.floor(part, SPARE * (k + 1)) if bounded else np.full(len(part), -np.inf)
+                    q, i, s = scan(index.value, part, floor, vecs, ids, min(k + 1, len(ids)))
+                    for held, x in zip(out, (names[at + q], i, s), strict=True):
+                        held.append(x)
+            cols = [np.concatenate(x) if x else np.zeros(0, kind) for x, kind in zip(out, (np.int64, np.int64, np.float64), strict=True)]
+            return pa.table(dict(zip(("qrep", "vec_id", "score"), map(pa.array, cols), strict=True)))
+
+        asking = queries.select("qrep", "vec").mapInArrow(assign(probes, True), "list int, id bigint, vec array<double>")
+        asking = asking.join(parts, F.col("list") == F.col("l")).select("list", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "id", "vec")
+        found = dealt.groupBy("list", "part").cogroup(asking.groupBy("list", "part")).applyInArrow(search, "qrep bigint, vec_id bigint, score double")
+        best = Window.partitionBy("qrep").orderBy(F.desc("score"), "vec_id")
+        return cut(found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).drop("r"), "hits")
+
+    first = hits(one_each, index.value.probes, True)
+    full = first.groupBy(F.col("qrep").alias("full")).agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > k)
+    short = cut(one_each.join(full, F.col("qrep") == F.col("full"), "left_anti"), "short")
+    if not short.isEmpty():
+        second = hits(short, lists, False)
+        first = first.join(short.select(F.col("qrep").alias("again")), F.col("qrep") == F.col("again"), "left_anti").unionByName(second)
+    hits = first
     who = asked.join(one_each.withColumnRenamed("vec", "v"), F.col("vec") == F.col("v")).select(F.col("vec_id").alias("query_id"), F.col("qrep").alias("q"))
     own = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     out = who.join(hits, F.col("q") == F.col("qrep")).where("vec_id != query_id").withColumn("rank", F.row_number().over(own)).where(F.col("rank") <= k)
