@@ -37,9 +37,10 @@ from pyspark.sql import functions as F
 from tidepanel.llm.common import arrow_schema, cut, gather, text_of
 
 LENGTH = 100
-GRAM = 32
+GRAM = 24
 #: Bytes that are hashed at once.
 CHUNK = 1 << 20
+NULL_ID = -(2**63)
 _DRAW = np.random.default_rng(97)
 TABLES = _DRAW.integers(1, 2**63, (2, 256), np.uint64)
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -118,7 +119,9 @@ def _numpy(table: pa.Table | pa.RecordBatch, *names: str) -> list[np.ndarray]:
     return [table.column(n).to_numpy() if isinstance(table, pa.Table) else table.column(n).to_numpy(zero_copy_only=False) for n in names]
 
 
-OCCURRENCE = "kind int, anchor bigint, run bigint, doc bigint, uid bigint, place int, lo int, hi int"
+OCCURRENCE = "kind int, anchor bigint, run bigint, doc bigint, uid bigint, pos bigint"
+#: ``pos`` holds the first window start of a run and, in so many bits each, how far its anchor and its last start lie behind.
+BITS = 8
 SPAN = "kind int, anchor bigint, doc bigint, uid bigint, lo int, hi int"
 
 
@@ -127,11 +130,11 @@ def _occurrences(texts: DataFrame, length: int) -> DataFrame:
     target = arrow_schema(OCCURRENCE)
 
     def emit(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-        anchor, run, doc, uid, place, lo, hi = (np.concatenate(x) for x in zip(*parts, strict=True))
-        index, first = _first_of((anchor, run), (doc, uid, lo))
+        anchor, run, doc, uid, pos = (np.concatenate(x) for x in zip(*parts, strict=True))
+        index, first = _first_of((anchor, run), (doc, uid, pos))
         kind = np.empty(len(index), np.int32)
         kind[index] = np.where(first, 0, 1)
-        cols = kind, anchor.view(np.int64), run.view(np.int64), doc, uid, place, lo, hi
+        cols = kind, anchor.view(np.int64), run.view(np.int64), doc, uid, pos
         return pa.RecordBatch.from_arrays([pa.array(c.astype(f.type.to_pandas_dtype()), f.type) for c, f in zip(cols, target, strict=True)], schema=target)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,7 +145,7 @@ def _occurrences(texts: DataFrame, length: int) -> DataFrame:
                 place, lo, hi, anchor, code = runs(data, length)
                 if len(lo):
                     n = len(lo)
-                    parts.append((anchor, code, np.full(n, doc), np.full(n, uid), place, lo, hi))
+                    parts.append((anchor, code, np.full(n, doc), np.full(n, uid), lo << 2 * BITS | (place - lo) << BITS | (hi - lo)))
                     held += n
                 if held > 200_000:
                     yield emit(parts)
@@ -161,14 +164,18 @@ def _compare_runs(found: DataFrame, length: int) -> DataFrame:
         whole = gather(batches)
         if whole is None:
             return
-        anchor, code, doc, uid, place, lo, hi = _numpy(whole, "anchor", "run", "doc", "uid", "place", "lo", "hi")
-        index, first = _first_of((anchor, code), (doc, uid, lo))
+        kind, anchor, code, doc, uid, pos = _numpy(whole, "kind", "anchor", "run", "doc", "uid", "pos")
+        lo, mask = pos >> 2 * BITS, (1 << BITS) - 1
+        place, hi = lo + (pos >> BITS & mask), lo + (pos & mask)
+        known, open_ = np.flatnonzero(kind == 1), np.flatnonzero(kind == 0)
+        index, first = _first_of((anchor[open_], code[open_]), (doc[open_], uid[open_], pos[open_]))
+        index = open_[index]
         # first runs whose anchor has another run
         one = index[first]
         own = anchor[one]
         change = np.r_[True, own[1:] != own[:-1], True]
         shared = ~(change[:-1] & change[1:])
-        look, again = one[shared], index[~first]
+        look, again = one[shared], np.r_[index[~first], known]
         kind = np.r_[np.zeros(len(look), np.int32), np.ones(len(again), np.int32)]
         pick = np.r_[look, again]
         # of runs to be looked at, `hi` holds the anchor's place
@@ -177,7 +184,9 @@ def _compare_runs(found: DataFrame, length: int) -> DataFrame:
         for at in range(0, len(pick), 50_000):
             yield pa.RecordBatch.from_arrays([pa.array(c[at : at + 50_000].astype(f.type.to_pandas_dtype()), f.type) for c, f in zip(cols, target, strict=True)], schema=target)
 
-    return found.repartition("anchor").mapInArrow(run, SPAN)
+    # repeats found in a batch needn't meet their anchor, they are dealt evenly
+    by = F.when(F.col("kind") == 0, F.col("anchor")).otherwise(F.xxhash64("doc", "pos"))
+    return found.repartition(by).mapInArrow(run, SPAN)
 
 
 CONTEXT = "anchor bigint, doc bigint, uid bigint, lo int, bytes binary, rel int"
@@ -187,7 +196,7 @@ def _contexts(texts: DataFrame, look: DataFrame, length: int) -> DataFrame:
     """The bytes of the runs to be looked at."""
     target = arrow_schema(CONTEXT)
     asked = look.groupBy(F.col("uid").alias("u"), F.col("doc").alias("d")).agg(F.collect_list(F.struct("anchor", "lo", F.col("hi").alias("place"))).alias("runs"))
-    joined = texts.join(asked, F.expr("uid = u and doc = d")).select("doc", "uid", "bytes", "runs")
+    joined = texts.join(asked, F.expr("doc = d and uid = u")).select("doc", "uid", "bytes", "runs")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -278,27 +287,26 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
-    """Texts (``doc_id, doc, uid, bytes``) and the spans (``doc, uid, lo, hi``) of their bytes that repeat."""
+    """Texts (``doc, uid, bytes``) and the spans (``doc, uid, lo, hi``) of their bytes that repeat."""
     text = text_of(docs)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    # nulls come first; among rows of one doc_id a hash of the text tells them apart
-    texts = docs.select(docs["doc_id"].alias("doc_id"), F.coalesce(docs["doc_id"].cast("bigint"), F.lit(-(2**63))).alias("doc"), F.xxhash64(text).alias("uid"), text.cast("binary").alias("bytes"))
-    assert kind in ("bigint", "int", "smallint", "tinyint"), "doc_id gives the order of documents"
+    assert docs.schema["doc_id"].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint"), "doc_id gives the order of documents"
+    doc = F.coalesce(docs["doc_id"].cast("bigint"), F.lit(NULL_ID))  # nulls come first
+    # where a doc_id occurs more than once, a hash of the text tells its rows apart
+    many = cut(docs.select(doc.alias("m")).groupBy("m").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("m"), "shared_ids")
+    texts = docs.select(doc.alias("doc"), text.cast("binary").alias("bytes")).join(many, F.col("doc") == F.col("m"), "left")
+    texts = texts.select("doc", F.when(F.col("m").isNull(), F.lit(0)).otherwise(F.xxhash64("bytes")).alias("uid"), "bytes")
     found = _occurrences(texts.where(F.octet_length("bytes") >= length), length)
-    known = cut(found, "occurrences")
-    spread = cut(_compare_runs(known.where("kind = 0").drop("kind"), length), "compared")
-    contexts = _contexts(texts, spread.where("kind = 0"), length)
-    late = _compare_windows(contexts, length)
-    near = known.where("kind = 1").select("doc", "uid", "lo", (F.col("hi") + length).alias("hi"))
-    spans = near.unionByName(spread.where("kind = 1").select("doc", "uid", "lo", "hi")).unionByName(late)
-    return texts, spans
+    spread = cut(_compare_runs(found, length), "compared")
+    late = _compare_windows(_contexts(texts, spread.where("kind = 0"), length), length)
+    return texts, spread.where("kind = 1").select("doc", "uid", "lo", "hi").unionByName(late)
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, keep_bytes: bool = False) -> DataFrame:
     """Documents -> ``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` (and ``kept`` bytes)."""
     texts, spans = repeated_spans(docs, length)
     grouped = spans.groupBy(F.col("doc").alias("d"), F.col("uid").alias("u")).agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
-    joined = texts.join(grouped, F.expr("doc = d and uid = u"), "left").select("doc_id", "bytes", "spans")
+    # the same exchange of texts as for the contexts: Spark reuses it
+    joined = texts.join(grouped, F.expr("doc = d and uid = u"), "left").select(F.expr(f"nullif(doc, {NULL_ID})").alias("doc_id"), "bytes", "spans")
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + (", kept binary" if keep_bytes else "")
     target = arrow_schema(schema)
