@@ -17,6 +17,7 @@ an original only if no other page has the payload; an empty table makes no archi
 
 from __future__ import annotations
 
+import gzip
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,6 +28,7 @@ from tidepanel.llm.common import arrow_schema, cut, shared_path
 
 #: Payload bytes that an archive file holds on average.
 ARCHIVE_BYTES = 16_000_000
+NULL_ID = -(2**63)
 #: The alphabets of radix 32 digits and of RFC 4648 base32.
 RADIX32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -51,14 +53,16 @@ def resolve(headers: DataFrame, min_bytes: int = 0) -> DataFrame:
 def records(pages: DataFrame, min_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Pages with resolved types: ``page_id, uri, payload, digest, n, refers_to, record_type``, dealt into archives."""
     payload = F.coalesce(pages["html"].cast("string"), F.lit(""))
-    whole = pages.select(pages["page_id"].alias("page_id"), pages["url"].cast("string").alias("uri"), payload.alias("payload"))
+    # a key without nulls, so that the window and the join below share one exchange of payloads
+    key = F.coalesce(pages["page_id"].cast("bigint"), F.lit(NULL_ID))
+    whole = pages.select(pages["page_id"].alias("page_id"), key.alias("key"), pages["url"].cast("string").alias("uri"), payload.alias("payload"))
     headed = whole.withColumns({"n": F.octet_length("payload").cast("bigint"), "digest": payload_digest(F.col("payload"))})
     headers = cut(headed.select("page_id", "n", "digest"), "headers")
-    found = cut(resolve(headers, min_bytes), "resolved").withColumnsRenamed({"page_id": "pid", "digest": "pdigest", "n": "pn"})
+    found = cut(resolve(headers, min_bytes), "resolved").select(F.coalesce(F.col("page_id").cast("bigint"), F.lit(NULL_ID)).alias("pkey"), F.col("digest").alias("pdigest"), "original", "grouped")
     files = int((headers.agg(F.sum("n")).first()[0] or 0) // archive_bytes + 1)
-    once = Window.partitionBy("page_id", "digest").orderBy(F.col("uri").asc_nulls_last())
-    dealt = headed.repartition(max(files, 2), "page_id", "digest").withColumn("nth", F.row_number().over(once))
-    joined = dealt.join(found, F.expr("page_id <=> pid and digest = pdigest and n = pn"))
+    once = Window.partitionBy("key", "digest").orderBy(F.col("uri").asc_nulls_last())
+    dealt = headed.repartition(max(files, 2), "key", "digest").withColumn("nth", F.row_number().over(once))
+    joined = dealt.join(found, F.expr("key = pkey and digest = pdigest"))
     response = ~F.col("grouped") | (F.col("page_id").eqNullSafe(F.col("original")) & (F.col("nth") == 1))
     return joined.select("page_id", "uri", "payload", "digest", "n", F.when(~response, F.col("original")).alias("refers_to"), F.when(response, "response").otherwise("revisit").alias("record_type"))
 
@@ -85,8 +89,8 @@ def _record(kind: Column) -> Column:
     )
 
 
-def write(pages: DataFrame, path: str, min_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES, compression: str = "none") -> None:
-    """Write deduplicated archives of ``page_id, url, html`` under ``path``."""
+def write(pages: DataFrame, path: str, min_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES, compression: str = "gzip") -> None:
+    """Write deduplicated archives of ``page_id, url, html`` under ``path``, each compressed whole unless told otherwise."""
     lines = records(pages, min_bytes, archive_bytes).select(_record(F.col("record_type")).alias("value"))
     lines.write.option("lineSep", "\r\n\r\n").option("compression", compression).text(path)
 
@@ -112,7 +116,8 @@ def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
         for batch in batches:
             for data in batch.column(0):
                 rows, held = [], 0
-                for fields, http, payload in parse(memoryview(data.as_buffer()).tobytes()):
+                held_bytes = memoryview(data.as_buffer()).tobytes()
+                for fields, http, payload in parse(gzip.decompress(held_bytes) if held_bytes[:2] == b"\x1f\x8b" else held_bytes):
                     heads = dict(x.split(": ", 1) for x in http.decode().split("\r\n")[1:])
                     rows.append((fields["WARC-Record-ID"][10:-1], fields["WARC-Type"], fields.get("WARC-Target-URI"), int(heads["Content-Length"]), fields["WARC-Payload-Digest"][5:], fields.get("WARC-Refers-To", "")[10:-1] or None, payload if payloads else None))
                     held += len(payload) if payloads else 100
