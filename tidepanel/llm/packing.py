@@ -16,6 +16,7 @@ are packed one by one; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from functools import cache
 
@@ -30,7 +31,8 @@ TOKENIZER = "word_bpe_49k.json"
 #: Pieces that share a (length, salt) cell, on average, if all had one length.
 CELL = 20_000
 #: Different words whose ids a worker remembers.
-MEMO = 200_000
+MEMO = 300_000
+SIGNS = "*#$%&!.,;:?|"
 
 
 class WordIds(dict):
@@ -46,11 +48,21 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        # letters and signs are apart for the tokenizer, and capitals are small ones
+        stem = word.rstrip(SIGNS)
+        if stem != word and unicodedata.normalize("NFC", stem).lower().isalpha():  # no marks appear in it
+            ids = self[stem] + self[word[len(stem) :]]
+        elif word.isascii() and word.isalpha() and not word.islower():
+            ids = self[word.lower()]
+        else:
+            ids = self._encode(word)
         if len(word) < 64:
             self[word] = ids
         return ids
 
+    def _encode(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+
     def encode(self, text: str) -> bytes:
         if len(self) > MEMO:
             self.clear()
