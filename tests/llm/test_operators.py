@@ -270,15 +270,43 @@ def test_repeats(spark):
     assert repeats.remove_repeats(docs_of(spark, [])).count() == 0
 
 
+def flat(texts):
+    return np.frombuffer(b"".join(texts), np.uint8), np.array([len(x) for x in texts], np.int64)
+
+
 def test_run_length_index():
     draw = random.Random(3)
-    for _ in range(20):
-        held = [bytes(draw.choice(b"ab") for _ in range(draw.randint(1, 80))) for _ in range(2)]
-        pattern = bytes(draw.choice(b"abc") for _ in range(30)) + held[0][5:40]
-        lengths, places = repeats.RunLengthIndex(held).statistics(pattern)
-        for i, n in enumerate(lengths):
-            piece = pattern[i : i + n]
-            assert any(piece in h for h in held) and not any(pattern[i : i + n + 1] in h for h in held if i + n < len(pattern))
+    for _ in range(40):
+        held = [bytes(draw.choice(b"ab") for _ in range(draw.randint(0, 80))) for _ in range(5)]
+        groups = np.array([0, 0, 1, 1, 2])
+        patterns = [bytes(draw.choice(b"abc") for _ in range(30)) + held[0][5:40], b"", held[3][3:] + b"a", b"\0\xff"]
+        of = np.array([0, 0, 1, 2])
+        index = repeats.RunLengthIndex(*flat(held), groups)
+        assert index.lengths.sum() == index.rows
+        lengths, places = index.statistics(*flat(patterns), of)
+        block, at = b"\1".join(held), 0
+        for pattern, group in zip(patterns, of, strict=True):
+            own = [h for h, g in zip(held, groups, strict=True) if g == group]
+            for i in range(len(pattern)):
+                n, place = int(lengths[at + i]), int(places[at + i])
+                assert any(pattern[i : i + n] in h for h in own) and (i + n == len(pattern) or not any(pattern[i : i + n + 1] in h for h in own))
+                assert n == 0 or block[place : place + n] == pattern[i : i + n]
+            at += len(pattern)
+
+
+@pytest.mark.parametrize("block", (1, 3, 4000))
+def test_earlier_texts_of_a_group(block):
+    draw = random.Random(block)
+    for _ in range(15):
+        groups = np.sort([draw.randint(0, 4) for _ in range(25)])
+        texts = [bytes(draw.choice(b"ab") for _ in range(draw.randint(0, 30))) for _ in groups]
+        found, at = repeats.earlier(*flat(texts), groups, length=6, block=block), 0
+        for k, text in enumerate(texts):
+            before = [t for t, g in zip(texts[:k], groups[:k], strict=True) if g == groups[k]]
+            want = [len(text[i : i + 6]) == 6 and any(text[i : i + 6] in t for t in before) for i in range(len(text))]
+            assert found[at : at + len(text)].tolist() == want
+            at += len(text)
+    assert not len(repeats.earlier(*flat([]), np.zeros(0, np.int64)))
 
 
 def test_page_text(spark):

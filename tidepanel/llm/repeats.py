@@ -7,16 +7,14 @@ anchor form a run. Occurrences of an anchor are compared in the order of their c
 
 1. of runs with equal bytes, all but the first occurrence are repeats, whole;
 2. first occurrences of different runs with one anchor send their bytes to the anchor's
-   task, where equal windows meet in sorted order and all but the first are repeats.
+   task. There the earlier ones are indexed by a run-length compressed Burrows-Wheeler
+   transform with sampled run ends (:class:`RunLengthIndex`), the later ones are streamed
+   against it, and matches of ``LENGTH`` bytes or more in their matching statistics are repeats.
 
-Equal runs are combined within each batch before the shuffle, so a passage that very many
-documents share costs one row per task. Windows are compared by two independent 64-bit
-polynomial hashes of their bytes.
-
-:class:`RunLengthIndex` is the index over one block of text: a run-length compressed
-Burrows-Wheeler transform with sampled run ends, which streams matching statistics. It
-answers the same question for a block (see ``mark``) and checks the distributed form in
-the tests; the README says why it isn't the main path.
+So the anchors divide the index of the corpus into blocks that no match crosses. Equal runs
+are combined within each batch before the shuffle, so a passage that very many documents
+share costs one row per task; they are told by a 64-bit polynomial hash of their bytes.
+Matches in the index are of bytes.
 
 Defined results: a null text is empty; documents of one doc_id and one text are one
 document; of documents that share a doc_id, the smaller text comes first; a null doc_id
@@ -41,6 +39,10 @@ GRAM = 24
 #: Bytes that are hashed at once.
 CHUNK = 1 << 20
 NULL_ID = -(2**63)
+#: Texts in one index.
+BLOCK = 4000
+#: Bytes that the first order of suffixes compares.
+PACK = 5
 _DRAW = np.random.default_rng(97)
 TABLES = _DRAW.integers(1, 2**63, (2, 256), np.uint64)
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -77,15 +79,15 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def runs(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """Of one text: anchor place, first and last window start, anchor hash and run hash of every run."""
+    """Of one text: first and last window start, anchor hash and run hash of every run."""
     none = np.zeros(0, np.int64)
     if len(data) < length:
-        return none, none, none, none.view(np.uint64), none.view(np.uint64)
+        return none, none, none.view(np.uint64), none.view(np.uint64)
     if len(data) > CHUNK + length:  # in pieces that overlap by length - 1 bytes, cut where runs may be cut as well
         parts = []
         for at in range(0, len(data) - length + 1, CHUNK):
-            place, lo, hi, anchor, run = runs(data[at : at + CHUNK + length - 1], length, gram)
-            parts.append((place + at, lo + at, hi + at, anchor, run))
+            lo, hi, anchor, run = runs(data[at : at + CHUNK + length - 1], length, gram)
+            parts.append((lo + at, hi + at, anchor, run))
         return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
     hashes = Hashes(data)
     grams = _mix(hashes.every(gram))
@@ -101,7 +103,7 @@ def runs(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.n
     hi = np.r_[lo[1:] - 1, len(place) - 1]
     place = place[lo]
     run = _mix(hashes.of(lo, hi + length) ^ _mix((place - lo).astype(np.uint64) * np.uint64(4096) + (hi - lo).astype(np.uint64)))
-    return place, lo, hi, grams[place], run
+    return lo, hi, grams[place], run
 
 
 def _first_of(keys: tuple[np.ndarray, ...], order: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
@@ -120,7 +122,7 @@ def _numpy(table: pa.Table | pa.RecordBatch, *names: str) -> list[np.ndarray]:
 
 
 OCCURRENCE = "kind int, anchor bigint, run bigint, doc bigint, uid bigint, pos bigint"
-#: ``pos`` holds the first window start of a run and, in so many bits each, how far its anchor and its last start lie behind.
+#: ``pos`` holds the first window start of a run and, in so many bits, how far its last start lies behind.
 BITS = 8
 SPAN = "kind int, anchor bigint, doc bigint, uid bigint, lo int, hi int"
 
@@ -142,10 +144,10 @@ def _occurrences(texts: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             for doc, uid, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 data = np.frombuffer(text.as_buffer(), np.uint8)
-                place, lo, hi, anchor, code = runs(data, length)
+                lo, hi, anchor, code = runs(data, length)
                 if len(lo):
                     n = len(lo)
-                    parts.append((anchor, code, np.full(n, doc), np.full(n, uid), lo << 2 * BITS | (place - lo) << BITS | (hi - lo)))
+                    parts.append((anchor, code, np.full(n, doc), np.full(n, uid), lo << BITS | (hi - lo)))
                     held += n
                 if held > 200_000:
                     yield emit(parts)
@@ -165,8 +167,8 @@ def _compare_runs(found: DataFrame, length: int) -> DataFrame:
         if whole is None:
             return
         kind, anchor, code, doc, uid, pos = _numpy(whole, "kind", "anchor", "run", "doc", "uid", "pos")
-        lo, mask = pos >> 2 * BITS, (1 << BITS) - 1
-        place, hi = lo + (pos >> BITS & mask), lo + (pos & mask)
+        lo = pos >> BITS
+        hi = lo + (pos & (1 << BITS) - 1)
         known, open_ = np.flatnonzero(kind == 1), np.flatnonzero(kind == 0)
         index, first = _first_of((anchor[open_], code[open_]), (doc[open_], uid[open_], pos[open_]))
         index = open_[index]
@@ -178,9 +180,7 @@ def _compare_runs(found: DataFrame, length: int) -> DataFrame:
         look, again = one[shared], np.r_[index[~first], known]
         kind = np.r_[np.zeros(len(look), np.int32), np.ones(len(again), np.int32)]
         pick = np.r_[look, again]
-        # of runs to be looked at, `hi` holds the anchor's place
-        ends = np.r_[place[look], hi[again] + length]
-        cols = kind, anchor[pick], doc[pick], uid[pick], lo[pick], ends
+        cols = kind, anchor[pick], doc[pick], uid[pick], lo[pick], hi[pick] + length
         for at in range(0, len(pick), 50_000):
             yield pa.RecordBatch.from_arrays([pa.array(c[at : at + 50_000].astype(f.type.to_pandas_dtype()), f.type) for c, f in zip(cols, target, strict=True)], schema=target)
 
@@ -189,63 +189,184 @@ def _compare_runs(found: DataFrame, length: int) -> DataFrame:
     return found.repartition(by).mapInArrow(run, SPAN)
 
 
-CONTEXT = "anchor bigint, doc bigint, uid bigint, lo int, bytes binary, rel int"
+class RunLengthIndex:
+    """Run-length compressed Burrows-Wheeler transform of a block of texts, with sampled run ends.
+
+    A text matches patterns of its own group only: bytes of different groups are different
+    symbols. Of the transform, only runs are kept: head, length, the places in the block of
+    their first and last symbol, and the row that the head leads to.
+    """
+
+    def __init__(self, data: np.ndarray, sizes: np.ndarray, groups: np.ndarray) -> None:
+        n = len(data) + len(sizes)
+        ends = np.cumsum(sizes + 1) - 1  # each text ends with a symbol below all bytes
+        text = np.repeat(np.arange(len(sizes)), sizes + 1)
+        inside = np.ones(n, bool)
+        inside[ends] = False
+        symbols = np.full(n, -1, np.int64)
+        symbols[inside] = groups[text[inside]] * 256 + data
+        self.left = ends[text] - np.arange(n)
+        self.bytes = np.zeros(n + max(int(sizes.max(initial=0)), PACK) + 1, np.uint8)
+        self.bytes[:n][inside] = data
+        order = self._suffixes(symbols, int(sizes.max(initial=0)))
+        before = symbols[order - 1]
+        heads = np.flatnonzero(np.r_[True, before[1:] != before[:-1]])
+        lengths = np.diff(np.r_[heads, n])
+        by = np.lexsort((heads, before[heads]))
+        self.rows, self.start = n, int(order[0])
+        self.heads, self.lengths, self.symbols = heads[by], lengths[by], before[heads][by]
+        self.keys = self.symbols * n + self.heads
+        self.first, self.last = order[heads][by], order[heads + lengths - 1][by]
+        self.lands = np.cumsum(self.lengths) - self.lengths
+
+    def _suffixes(self, symbols: np.ndarray, longest: int) -> np.ndarray:
+        """Suffixes in order, equal ones in the order of their texts; by doubling of the length that is compared."""
+        n = len(symbols)
+        key = symbols + 1
+        for j in range(1, PACK):
+            key = key * 257 + np.where(self.left > j, self.bytes[j : n + j].astype(np.int64) + 1, 0)
+        rank, have = _dense(key), PACK
+        while have < longest:
+            ahead = np.where(self.left > have, rank[np.minimum(np.arange(n) + have, n - 1)] + 1, 0)
+            finer = _dense(rank * (n + 1) + ahead)
+            if finer.max() == rank.max():
+                break
+            rank, have = finer, 2 * have
+        return np.argsort(rank * n + np.arange(n))
+
+    def statistics(self, data: np.ndarray, sizes: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each place of each pattern: length of the longest match from there on, and where in the block it stands.
+
+        Patterns are streamed from their ends, all at once: a step takes the next byte of each. Where
+        the byte isn't the one before the match, the match moves to the nearer end of the runs of
+        that byte above and below, by the bytes they have in common with it.
+        """
+        by = np.argsort(-sizes, kind="stable")
+        ends, groups, sizes = np.cumsum(sizes)[by], groups[by].astype(np.int64), sizes[by]
+        lengths, places = np.zeros(len(data), np.int32), np.full(len(data), -1, np.int64)
+        row, have, at = (np.full(len(sizes), x, np.int64) for x in (0, 0, self.start))
+        for step in range(int(sizes.max(initial=0))):
+            live = int(np.searchsorted(-sizes, -step))  # longer than `step`
+            row, have, at = row[:live], have[:live], at[:live]
+            cell = ends[:live] - 1 - step
+            symbol = groups[:live] * 256 + data[cell]
+            run = np.searchsorted(self.keys, symbol * self.rows + row, "right") - 1
+            known = (run >= 0) & (self.symbols[run] == symbol)
+            out = np.flatnonzero(~known | (row >= self.heads[run] + self.lengths[run]))
+            if len(out):
+                up, down = run[out], np.minimum(run[out] + 1, len(self.keys) - 1)
+                above = np.where(known[out], self._common(at[out], self.last[up], have[out]), -1)
+                below = np.where((down > up) & (self.symbols[down] == symbol[out]), self._common(at[out], self.first[down], have[out]), -1)
+                take = below > above
+                have[out] = np.maximum(above, below)
+                run[out] = np.where(take, down, up)
+                row[out] = np.where(take, self.heads[down], self.heads[up] + self.lengths[up] - 1)
+                at[out] = np.where(take, self.first[down], self.last[up])
+            row, have, at = self.lands[run] + row - self.heads[run], have + 1, at - 1
+            lost = np.flatnonzero(have == 0)  # the group has no such byte
+            row[lost], at[lost] = 0, self.start
+            lengths[cell], places[cell] = have, at
+        return lengths, places
+
+    def _common(self, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """Length of the common prefix of the suffixes at ``a`` and ``b``, as far as ``most``."""
+        most = np.minimum(most, np.minimum(self.left[a], self.left[b]))
+        same = np.zeros(len(a), np.int64)
+        for lo, hi in ((0, 16), (16, int(most.max(initial=0)))):
+            rest = np.flatnonzero((same == lo) & (most > lo))
+            if len(rest):
+                grid = np.arange(lo, hi)
+                unlike = self.bytes[np.minimum(a[rest, None] + grid, len(self.bytes) - 1)] != self.bytes[np.minimum(b[rest, None] + grid, len(self.bytes) - 1)]
+                same[rest] = np.where(unlike.any(1), lo + unlike.argmax(1), hi)
+        return np.minimum(same, most)
+
+
+def _dense(key: np.ndarray) -> np.ndarray:
+    order = np.argsort(key)
+    rank = np.empty(len(key), np.int64)
+    rank[order] = np.cumsum(np.r_[False, key[order][1:] != key[order][:-1]])
+    return rank
+
+
+def _rows(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, pick: np.ndarray) -> np.ndarray:
+    """Where the bytes of the picked rows are."""
+    n = sizes[pick]
+    return np.arange(n.sum()) + np.repeat(starts[pick] - (np.cumsum(n) - n), n)
+
+
+def earlier(data: np.ndarray, sizes: np.ndarray, groups: np.ndarray, length: int = LENGTH, block: int = BLOCK) -> np.ndarray:
+    """Places of texts where ``length`` bytes begin that a text before it in its group holds; ``groups`` ascend.
+
+    Of two texts in a group, look at the highest binary digit in which their ranks differ: the
+    earlier one has 0 there. So for each digit, texts with 0 are indexed and texts with 1 streamed,
+    and texts with equal higher digits make one family of the index. A group of g texts is read
+    log2(g) times; an index holds at most ``block`` texts.
+    """
+    starts = np.cumsum(sizes) - sizes
+    first = np.flatnonzero(np.r_[True, groups[1:] != groups[:-1]])[: len(groups)]
+    rank = np.arange(len(groups)) - np.repeat(first, np.diff(np.r_[first, len(groups)]))
+    found = np.zeros(len(data), bool)
+    for digit in range(int(rank.max(initial=0)).bit_length()):
+        high = rank >> digit + 1
+        family = np.cumsum(np.r_[False, (groups[1:] != groups[:-1]) | (high[1:] != high[:-1])])
+        side = rank >> digit & 1
+        asked = np.flatnonzero(side)
+        held = np.flatnonzero((side == 0) & (np.bincount(family[asked], minlength=family[-1] + 1)[family] > 0))
+        for at in range(0, len(held), block):
+            some = held[at : at + block]
+            low, top = family[some[0]], family[some[-1]]
+            index = RunLengthIndex(data[_rows(data, starts, sizes, some)], sizes[some], family[some] - low)
+            begin, end = np.searchsorted(family[asked], low, "left"), np.searchsorted(family[asked], top, "right")
+            for k in range(begin, end, block):
+                streamed = asked[k : min(k + block, end)]
+                where = _rows(data, starts, sizes, streamed)
+                lengths, _ = index.statistics(data[where], sizes[streamed], family[streamed] - low)
+                found[where[lengths >= length]] = True
+    return found
+
+
+CONTEXT = "anchor bigint, doc bigint, uid bigint, lo int, bytes binary"
 
 
 def _contexts(texts: DataFrame, look: DataFrame, length: int) -> DataFrame:
     """The bytes of the runs to be looked at."""
     target = arrow_schema(CONTEXT)
-    asked = look.groupBy(F.col("uid").alias("u"), F.col("doc").alias("d")).agg(F.collect_list(F.struct("anchor", "lo", F.col("hi").alias("place"))).alias("runs"))
+    asked = look.groupBy(F.col("uid").alias("u"), F.col("doc").alias("d")).agg(F.collect_list(F.struct("anchor", "lo", "hi")).alias("runs"))
     joined = texts.join(asked, F.expr("doc = d and uid = u")).select("doc", "uid", "bytes", "runs")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: tuple[list, ...] = [], [], [], [], [], []
+            out: tuple[list, ...] = [], [], [], [], []
             for doc, uid, text, some in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3).to_pylist(), strict=True):
                 data = memoryview(text.as_buffer()).tobytes()
                 for r in some:
-                    # the run ends where its anchor leaves the window or a smaller one comes: at most at the anchor itself
-                    part = data[r["lo"] : r["place"] + length]
-                    for held, x in zip(out, (r["anchor"], doc, uid, r["lo"], part, r["place"] - r["lo"]), strict=True):
+                    for held, x in zip(out, (r["anchor"], doc, uid, r["lo"], data[r["lo"] : r["hi"]]), strict=True):
                         held.append(x)
                 if len(out[0]) > 20_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, target, strict=True)], schema=target)
-                    out = [], [], [], [], [], []
+                    out = [], [], [], [], []
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, target, strict=True)], schema=target)
 
     return joined.mapInArrow(run, CONTEXT)
 
 
-def _compare_windows(contexts: DataFrame, length: int) -> DataFrame:
-    """Windows of different runs by anchor -> spans that repeat an earlier one."""
+def _match_runs(contexts: DataFrame, length: int) -> DataFrame:
+    """Different runs by anchor -> spans that repeat an earlier one, by the matching statistics of an index."""
     target = arrow_schema("doc bigint, uid bigint, lo int, hi int")
 
     def spans(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(parts)
-        anchor, doc, uid, lo, rel = _numpy(table, "anchor", "doc", "uid", "lo", "rel")
+        anchor, doc, uid, lo = _numpy(table, "anchor", "doc", "uid", "lo")
         sizes = np.fromiter((len(x.as_buffer()) for b in parts for x in b.column("bytes")), np.int64, len(lo))
         data = np.frombuffer(b"".join(memoryview(x.as_buffer()) for b in parts for x in b.column("bytes")), np.uint8)
-        starts = np.r_[0, np.cumsum(sizes)[:-1]]
-        windows = sizes - length + 1
-        row = np.repeat(np.arange(len(lo)), windows)
-        offset = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
-        begin = starts[row] + offset
-        one, two = Hashes(data, 0).of(begin, begin + length), Hashes(data, 1).of(begin, begin + length)
-        # equal windows have their anchor at the same place
-        key = _mix(one ^ _mix(anchor.view(np.uint64)[row] + (rel[row] - offset).astype(np.uint64)))
-        where = lo[row] + offset
-        index = np.lexsort((where, uid[row], doc[row], two, key))
-        same = (key[index][1:] == key[index][:-1]) & (two[index][1:] == two[index][:-1])
-        # a window at the same place of the same text is itself, seen from another run
-        again = np.zeros(len(row), bool)
-        again[index[1:][same]] = True
-        hit = np.flatnonzero(again)
+        hit = np.flatnonzero(earlier(data, sizes, anchor, length))
         if len(hit):
-            r, w = row[hit], where[hit]
-            new = np.r_[True, (r[1:] != r[:-1]) | (w[1:] != w[:-1] + 1)]
-            first, last = np.flatnonzero(new), np.r_[np.flatnonzero(new)[1:] - 1, len(r) - 1]
-            cols = doc[r[first]], uid[r[first]], w[first], w[last] + length
+            row = np.searchsorted(np.cumsum(sizes), hit, "right")
+            where = lo[row] + hit - (np.cumsum(sizes) - sizes)[row]
+            new = np.r_[True, (row[1:] != row[:-1]) | (where[1:] != where[:-1] + 1)]
+            first, last = np.flatnonzero(new), np.r_[np.flatnonzero(new)[1:] - 1, len(hit) - 1]
+            cols = doc[row[first]], uid[row[first]], where[first], where[last] + length
             yield pa.RecordBatch.from_arrays([pa.array(c.astype(f.type.to_pandas_dtype()), f.type) for c, f in zip(cols, target, strict=True)], schema=target)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,7 +394,7 @@ def _compare_windows(contexts: DataFrame, length: int) -> DataFrame:
         if held:
             yield from spans(held)
 
-    return contexts.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "doc bigint, uid bigint, lo int, hi int")
+    return contexts.repartition("anchor").sortWithinPartitions("anchor", "doc", "uid", "lo").mapInArrow(run, "doc bigint, uid bigint, lo int, hi int")
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -297,7 +418,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, Da
     texts = texts.select("doc", F.when(F.col("m").isNull(), F.lit(0)).otherwise(F.xxhash64("bytes")).alias("uid"), "bytes")
     found = _occurrences(texts.where(F.octet_length("bytes") >= length), length)
     spread = cut(_compare_runs(found, length), "compared")
-    late = _compare_windows(_contexts(texts, spread.where("kind = 0"), length), length)
+    late = _match_runs(_contexts(texts, spread.where("kind = 0"), length), length)
     return texts, spread.where("kind = 1").select("doc", "uid", "lo", "hi").unionByName(late)
 
 
@@ -326,78 +447,3 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, keep_bytes: bool = Fal
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), target, strict=True)], schema=target)
 
     return joined.mapInArrow(run, schema)
-
-
-class RunLengthIndex:
-    """Run-length compressed Burrows-Wheeler transform of one block of texts, with sampled run ends.
-
-    Texts are separated by a symbol below all bytes. ``statistics`` streams the matching
-    statistics of a pattern from its end: the longest match at each place and one place in the
-    block where it stands, kept by the samples at the ends of runs.
-    """
-
-    def __init__(self, texts: list[bytes]) -> None:
-        joined = np.concatenate([np.r_[np.frombuffer(t, np.uint8).astype(np.int64) + 2, 1] for t in texts] + [np.zeros(1, np.int64)])
-        self.text, n = joined, len(joined)
-        rank, step = joined.copy(), 1
-        while True:
-            order = np.lexsort((np.r_[rank[step:], np.full(min(step, n), -1)][:n], rank))
-            pair = np.stack([rank[order], np.r_[rank[step:], np.full(min(step, n), -1)][:n][order]])
-            new = np.cumsum(np.r_[0, (pair[:, 1:] != pair[:, :-1]).any(0)])
-            rank[order] = new
-            step *= 2
-            if new[-1] == n - 1:
-                break
-        bwt = joined[order - 1]
-        heads = np.flatnonzero(np.r_[True, bwt[1:] != bwt[:-1]])
-        tails = np.r_[heads[1:] - 1, n - 1]
-        self.symbols, self.heads = bwt[heads], heads
-        self.head_samples, self.tail_samples = order[heads] - 1, order[tails] - 1
-        lengths = tails - heads + 1
-        counts = np.bincount(bwt, minlength=258)
-        self.before = np.r_[0, np.cumsum(counts)[:-1]]
-        self.runs_of = {int(c): np.flatnonzero(self.symbols == c) for c in np.unique(self.symbols)}
-        self.cum = {c: np.r_[0, np.cumsum(lengths[r])] for c, r in self.runs_of.items()}
-        self.lengths, self.start = lengths, (n - 1, int(order[n - 1]))
-
-    def _rank(self, c: int, row: int) -> int:
-        """Occurrences of ``c`` in the transform before ``row``."""
-        runs_, cum = self.runs_of[c], self.cum[c]
-        k = int(np.searchsorted(self.heads[runs_], row, "right"))
-        return 0 if k == 0 else int(cum[k - 1] + min(row - self.heads[runs_[k - 1]], self.lengths[runs_[k - 1]]))
-
-    def statistics(self, pattern: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """For each place of ``pattern``: length of the longest match from there on, and where it stands in the block."""
-        row, at = self.start
-        lengths, places, have = np.zeros(len(pattern), np.int64), np.full(len(pattern), -1), 0
-        for i in range(len(pattern) - 1, -1, -1):
-            c = pattern[i] + 2
-            if c not in self.runs_of:
-                row, at, have = *self.start, 0
-                continue
-            runs_ = self.runs_of[c]
-            k = int(np.searchsorted(self.heads[runs_], row, "right")) - 1
-            if k >= 0 and row < self.heads[runs_[k]] + self.lengths[runs_[k]]:
-                at, have = at - 1, have + 1
-            else:  # to the nearer end of the neighbouring runs of c, by common prefix
-                best = (-1, 0, 0)
-                for j, samples, end in ((k, self.tail_samples, True), (k + 1, self.head_samples, False)):
-                    if 0 <= j < len(runs_):
-                        r = runs_[j]
-                        there = int(samples[r]) + 1
-                        best = max(best, (self._common(at, there, have), int(self.heads[r] + (self.lengths[r] - 1 if end else 0)), there))
-                have, row, at = min(best[0], have) + 1, best[1], best[2] - 1
-            row = int(self.before[c] + self._rank(c, row))
-            lengths[i], places[i] = have, at
-        return lengths, places
-
-    def _common(self, a: int, b: int, most: int) -> int:
-        x, y = self.text[a : a + most], self.text[b : b + most]
-        n = min(len(x), len(y))
-        unlike = np.flatnonzero(x[:n] != y[:n])
-        return int(unlike[0]) if len(unlike) else n
-
-    def mark(self, pattern: bytes, length: int = LENGTH) -> list[tuple[int, int]]:
-        """Spans of ``pattern`` that are covered by matches of at least ``length`` bytes."""
-        found, _ = self.statistics(pattern)
-        return merged([(int(i), int(i + found[i])) for i in np.flatnonzero(found >= length)])
