@@ -284,6 +284,8 @@ def test_run_length_index():
         index = repeats.RunLengthIndex(*flat(held), groups)
         assert index.lengths.sum() == index.rows
         lengths, places = index.statistics(*flat(patterns), of)
+        long, _ = index.statistics(*flat(patterns), of, 9)
+        assert (np.where(lengths >= 9, lengths, 0) == np.where(long >= 9, long, 0)).all()
         block, at = b"\1".join(held), 0
         for pattern, group in zip(patterns, of, strict=True):
             own = [h for h, g in zip(held, groups, strict=True) if g == group]

@@ -234,22 +234,25 @@ class RunLengthIndex:
             rank, have = finer, 2 * have
         return np.argsort(rank * n + np.arange(n))
 
-    def statistics(self, data: np.ndarray, sizes: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def statistics(self, data: np.ndarray, sizes: np.ndarray, groups: np.ndarray, least: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """For each place of each pattern: length of the longest match from there on, and where in the block it stands.
 
         Patterns are streamed from their ends, all at once: a step takes the next byte of each. Where
         the byte isn't the one before the match, the match moves to the nearer end of the runs of
-        that byte above and below, by the bytes they have in common with it.
+        that byte above and below, by the bytes they have in common with it. A pattern of which the
+        rest can't make a match of ``least`` bytes is left there, with lengths of 0.
         """
         by = np.argsort(-sizes, kind="stable")
         ends, groups, sizes = np.cumsum(sizes)[by], groups[by].astype(np.int64), sizes[by]
         lengths, places = np.zeros(len(data), np.int32), np.full(len(data), -1, np.int64)
         row, have, at = (np.full(len(sizes), x, np.int64) for x in (0, 0, self.start))
         for step in range(int(sizes.max(initial=0))):
-            live = int(np.searchsorted(-sizes, -step))  # longer than `step`
-            row, have, at = row[:live], have[:live], at[:live]
-            cell = ends[:live] - 1 - step
-            symbol = groups[:live] * 256 + data[cell]
+            live: slice | np.ndarray = slice(int(np.searchsorted(-sizes, -step)))  # longer than `step`
+            if step % 8 == 0 and least:
+                live = np.flatnonzero(have[live] + sizes[live] - step >= least)
+            row, have, at, sizes, ends, groups = (x[live] for x in (row, have, at, sizes, ends, groups))
+            cell = ends - 1 - step
+            symbol = groups * 256 + data[cell]
             run = np.searchsorted(self.keys, symbol * self.rows + row, "right") - 1
             known = (run >= 0) & (self.symbols[run] == symbol)
             out = np.flatnonzero(~known | (row >= self.heads[run] + self.lengths[run]))
@@ -320,7 +323,7 @@ def earlier(data: np.ndarray, sizes: np.ndarray, groups: np.ndarray, length: int
             for k in range(begin, end, block):
                 streamed = asked[k : min(k + block, end)]
                 where = _rows(data, starts, sizes, streamed)
-                lengths, _ = index.statistics(data[where], sizes[streamed], family[streamed] - low)
+                lengths, _ = index.statistics(data[where], sizes[streamed], family[streamed] - low, length)
                 found[where[lengths >= length]] = True
     return found
 
