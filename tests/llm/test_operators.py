@@ -210,8 +210,11 @@ def test_tokens_by_stretch_equal_tokens_of_the_text():
     from tokenizers import Tokenizer
 
     plain, words = Tokenizer.from_file(packing.tokenizer_path()), packing._words(packing.tokenizer_path())
-    for t in ("It's  A test\x1c x\x85y z don't", "é ́x İI ß\r\n<|endoftext|>a b<|startoftext|>", "", " \n", "日本語 テスト🙂🙂"):
-        assert words.encode(t) == np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+    texts = ["It's  A test\x1c x\x85y z don't", "é ́x İI ß\r\n<|endoftext|>a b<|startoftext|>", "", " \n", "日本語 テスト🙂🙂"]
+    texts += ["Éáb&& İstanbul!! ß. 'S x1y2 \x01a b　c ²³ ａＢ. ǅ,", "ͅ aͅ. ﬁ, Ω!!", "a" * 70 + "!? " + "b" * 64 + " ..,, ,a .B! A.", "a" * 70 + "!?", "%% " * 30]
+    for t, ids in zip(texts, words.encode(texts), strict=True):
+        assert ids == np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+    assert words.encode([]) == []
 
 
 @settings(max_examples=200, deadline=None)

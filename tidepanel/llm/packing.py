@@ -30,50 +30,68 @@ SEQUENCE = 2048
 TOKENIZER = "word_bpe_49k.json"
 #: Pieces that share a (length, salt) cell, on average, if all had one length.
 CELL = 20_000
-#: Different words whose ids a worker remembers.
+#: Different words whose ids a worker remembers, and the length from which it forgets them.
 MEMO = 300_000
+LONG = 64
 SIGNS = "*#$%&!.,;:?|"
 
 
 class WordIds(dict):
-    """Ids (little-endian bytes) of stretches without white space, made when first asked for.
+    """Ids (little-endian bytes) of stretches without white space.
 
     The tokenizer drops white space and no token or normalisation crosses it, so a
-    text's ids are those of its stretches, one after the other.
+    text's ids are those of its stretches, one after the other. Stretches that are new
+    in some texts and made of letters, then signs, are learnt together.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)  # tokens that end a run of letters or signs
+        for token, i in self.tokenizer.get_vocab().items():
+            self.ends[i] = token.endswith("</w>")
 
     def __missing__(self, word: str) -> bytes:
-        # letters and signs are apart for the tokenizer, and capitals are small ones
-        stem = word.rstrip(SIGNS)
-        if stem != word and unicodedata.normalize("NFC", stem).lower().isalpha():  # no marks appear in it
-            ids = self[stem] + self[word[len(stem) :]]
-        elif word.isascii() and word.isalpha() and not word.islower():
-            ids = self[word.lower()]
-        else:
-            ids = self._encode(word)
-        if len(word) < 64:
+        ids = self._encode(word)
+        if len(word) < LONG:
             self[word] = ids
         return ids
 
-    def _encode(self, word: str) -> bytes:
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def encode(self, text: str) -> bytes:
+    def _encode(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _learn(self, fresh: set[str]) -> None:
+        """Letters and signs are apart for the tokenizer."""
+        signed = [word for word in fresh if not word.isalpha() and len(word) < LONG]
+        stems = [word.rstrip(SIGNS) for word in signed]
+        new = {word for word in fresh if word.isalpha()}.union(stems).difference(self)
+        new = {word for word in new if len(word) < LONG and (word.isalpha() if word.isascii() else unicodedata.normalize("NFC", word).lower().isalpha())}  # no marks appear in it
+        words = list(new)
+        for at in range(0, len(words), 2000):
+            some = words[at : at + 2000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(some):  # a word has one end at least, so each has one
+                raw, ends = ids.tobytes(), (4 * ends).tolist()
+                self.update(zip(some, (raw[x:y] for x, y in zip([0, *ends], ends, strict=False)), strict=True))
+        for word, stem in zip(signed, stems, strict=True):
+            if stem != word and stem in self:
+                self[word] = self[stem] + self[word[len(stem) :]]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
         if len(self) > MEMO:
             self.clear()
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")))
+        self[""] = b""
+        # capitals are small letters for the tokenizer
+        parts = [(text.lower() if text.isascii() else text).replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for text in texts]
+        self._learn(set().union(*parts).difference(self))
+        return [b"".join(map(self.__getitem__, part)) for part in parts]
 
 
 @cache
 def _words(path: str) -> WordIds:
-    words = WordIds(path)
-    words[""] = b""
-    return words
+    return WordIds(path)
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -86,11 +104,10 @@ def pieces(docs: DataFrame, path: str | None = None, sequence: int = SEQUENCE) -
     """Documents -> ``doc_id, piece, start, length, ids_crc32``."""
 
     def step(rows: dict[str, list]) -> dict[str, list]:
-        words = _words(path or tokenizer_path())
+        texts = _words(path or tokenizer_path()).encode([text or "" for text in rows["text"]])
         out: dict[str, list] = {"doc_id": [], "piece": [], "start": [], "length": [], "ids_crc32": []}
-        for doc, text in zip(rows["doc_id"], rows["text"], strict=True):
-            ids = words.encode(text or "") + b"\0\0\0\0"
-            words[""] = b""
+        for doc, ids in zip(rows["doc_id"], texts, strict=True):
+            ids += b"\0\0\0\0"
             for k, at in enumerate(range(0, len(ids), 4 * sequence)):
                 part = ids[at : at + 4 * sequence]
                 for name, x in zip(out, (doc, k, at // 4, len(part) // 4, zlib.crc32(part)), strict=True):
