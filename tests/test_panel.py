@@ -12,9 +12,9 @@ import pytest
 
 from tidepanel import queries as q
 from tidepanel.functions.columns import interpolate_quantiles, series_id, split_ids, translate_expression
-from tidepanel.operators import forecast, panel, sampling, score
+from tidepanel.operators import coldstart, forecast, panel, sampling, score
 from tidepanel.operators.prepare import PanelSpec, sales
-from tidepanel.plans import folds
+from tidepanel.plans import folds, ledger
 from tidepanel.sources.tables import expand, read_table, write_forecast
 
 SF = "/root/testdata/sf0.001"
@@ -130,3 +130,36 @@ def test_sources_and_sink(spark, tmp_path):
         read_table(spark, [str(tmp_path / "p.parquet"), str(tmp_path / "q.csv")], mixed=False)
     write_forecast(spark.createDataFrame([("a", 1.0), ("b", 2.0)], "series_id string, y_pred double"), str(tmp_path / "out"), 3)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def test_short_history_is_scaled_towards_its_own_level(spark):
+    profiles = spark.createDataFrame([(2, None, None, a, 2.0) for a in range(10)], "level int, key1 string, key2 string, age int, mean double")
+    short = spark.createDataFrame([("a", "x", "y", 4, 22.0), ("b", "x", "y", 2, 0.0)], "series_id string, key1 string, key2 string, hist_age int, hist_sum double")
+    got = {(r.series_id, r.horizon): r.y_pred for r in coldstart.scale_short(short, profiles, 3).collect()}
+    assert len(got) == 6 and got["a", 1] == pytest.approx(2 * (22 + 14) / (8 + 14)) and got["b", 3] == pytest.approx(2 * 14 / (4 + 14))
+    assert coldstart.scale_short(short.limit(0), profiles, 3).count() == 0
+
+
+def test_verdicts_and_ledger(tmp_path):
+    run = lambda x, folds, sig="s", **more: {"overall": {"wape": x, "n": 90, "n_missing": 1}, "folds": folds, "signature": sig} | more
+    ref = run(0.5, {"0": 0.5, "1": 0.5, "2": 0.5})
+    assert ledger.verdict(ref, None) == ("reference", None)
+    assert ledger.verdict(run(0.4, {"0": 0.4, "1": 0.4, "2": 0.6}), ref)[0] == "improved"
+    assert ledger.verdict(run(0.4, {"0": 0.2, "1": 0.6, "2": 0.6}), ref)[0] == "inconclusive"
+    assert ledger.verdict(run(0.6, {"0": 0.6, "1": 0.7, "2": None}), ref)[0] == "regressed"
+    assert ledger.verdict(run(0.499, {"0": 0.4}), ref)[0] == "inconclusive"
+    assert ledger.verdict(run(0.4, {}, "t"), ref) == ("incomparable", None)
+    assert ledger.verdict(run(0.4, {"0": 0.1}, inputs_changed=True), ref) == ("inconclusive", None)
+    assert ledger.verdict(run(math.nan, {"0": 0.1}), ref) == ("inconclusive", None)
+    one, two = ledger.reserve(tmp_path / "l", "one"), ledger.reserve(tmp_path / "l", "two")
+    assert (one.name, two.name) == ("0001_one", "0002_two")
+    ledger.record(one, {"model": "naive"}, ref)
+    with pytest.raises(FileExistsError):
+        ledger.record(one, {}, ref)
+    ledger.release(two)
+    assert ledger.leaderboard(tmp_path / "l") == [("0001_one", 0.5)]
+    assert ledger.reserve(tmp_path / "l", "three").name == "0002_three"
+    before = ledger.fingerprint(one)
+    (one / "more").write_text("x")
+    assert ledger.fingerprint(one) != before
+    assert ledger.signature({"name": "a", "h": 1}, {}, []) == ledger.signature({"name": "b", "h": 1}, {}, []) != ledger.signature({"h": 2}, {}, [])

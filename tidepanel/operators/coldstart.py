@@ -36,3 +36,20 @@ def lookup(targets: DataFrame, profiles: DataFrame) -> DataFrame:
         out = out.withColumn(f"age{level}", F.when(F.col(f"cap{level}").isNotNull(), F.least("age", f"cap{level}")))
         out = out.join(p, [*on, f"age{level}"], "left")
     return out.withColumn("y_pred", F.coalesce("mean0", "mean1", "mean2")).select(*targets.columns, "y_pred")
+
+
+def scale_short(short: DataFrame, profiles: DataFrame, horizon: int) -> DataFrame:
+    """Forecast of series with a short history: the profile, scaled by how the series sold against it so far.
+
+    ``short`` has ``series_id, key1, key2, hist_age, hist_sum``. The scale is shrunk towards 1 by seven days
+    of the mean profile over the past days of all series of the call, and held between 0.2 and 5.
+    """
+    days = short.withColumn("age", F.explode(F.expr(f"sequence(0, hist_age + {horizon - 1})")))
+    looked = lookup(days, profiles)
+    past = F.col("age") < F.col("hist_age")
+    prior = looked.where(past).agg((F.greatest(F.coalesce(F.avg("y_pred"), F.lit(0.0)), F.lit(1e-6)) * 7).alias("prior"))  # one row
+    sold = looked.where(past).groupBy("series_id").agg(F.sum(F.coalesce("y_pred", F.lit(0.0))).alias("expected"), F.first("hist_sum").alias("sold"))
+    ratio = (F.col("sold") + F.col("prior")) / (F.col("expected") + F.col("prior"))
+    scales = sold.join(F.broadcast(prior)).select("series_id", F.least(F.greatest(ratio, F.lit(0.2)), F.lit(5.0)).alias("scale"))
+    ahead = looked.where(~past).join(scales, "series_id")
+    return ahead.select("series_id", (F.col("age") - F.col("hist_age") + 1).alias("horizon"), "scale", (F.col("y_pred") * F.col("scale")).alias("y_pred"))

@@ -104,6 +104,14 @@ def _cold_start(s: SparkSession, d: str) -> DataFrame:
     return _r(coldstart.lookup(targets, profiles), "y_pred").select("series_id", "age", "y_pred")
 
 
+def _cold_short(s: SparkSession, d: str) -> DataFrame:
+    rows, parts = _sales(s, d, PART), _parts(s, d)
+    short = panel.history_split(rows, COLD, 28, H).where("lifecycle = 'short_history'")
+    profiles = coldstart.launch_profiles(rows, panel.first_dates(rows), parts, COLD, ("p_brand", "p_type"), 28 + H, 5, exclude=short)
+    keyed = short.join(parts, "series_id").select("series_id", F.col("p_brand").alias("key1"), F.col("p_type").alias("key2"), "hist_age", "hist_sum")
+    return _r(coldstart.scale_short(keyed, profiles, H), "scale", "y_pred")
+
+
 def _sampled(s: SparkSession, d: str) -> DataFrame:
     classes = panel.demand_classes(_grid(s, d, PART)).select("series_id", "demand_class")
     sizes = {r[0]: r[1] for r in classes.groupBy("demand_class").count().collect()}  # a row per class
@@ -144,6 +152,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "plan_coverage": lambda s, d: future.coverage(future.with_plans(_frame(s, d), _plans(s, d), o(s), ["plan_discount"]), "plan_discount"),
         "launch_profile_rollup": lambda s, d: _profile_rows(_cold(s, d)[1]),
         "cold_start_new": _cold_start,
+        "cold_start_short": _cold_short,
         "backtest_predictions": lambda s, d: _r(_predictions(s, d), "y_pred", "mase_scale"),
         "score_overall": lambda s, d: _scores(s, d, []),
         "score_by_fold": lambda s, d: _scores(s, d, ["fold"]),
@@ -283,6 +292,17 @@ def oracle_sql() -> dict[str, str]:
           left join caps c0 on c0."level" = 0 and c0.key1 = t.key1 and c0.key2 = t.key2 left join profiles p0 on p0."level" = 0 and p0.key1 = t.key1 and p0.key2 = t.key2 and p0.age = least(t.age, c0.cap) and c0.cap is not null
           left join caps c1 on c1."level" = 1 and c1.key1 = t.key1 left join profiles p1 on p1."level" = 1 and p1.key1 = t.key1 and p1.age = least(t.age, c1.cap) and c1.cap is not null
           left join caps c2 on c2."level" = 2 left join profiles p2 on p2."level" = 2 and p2.age = least(t.age, c2.cap) and c2.cap is not null""", "l_partkey"),
+        "cold_start_short": _with(f""", {_COLD.replace("age < 60", f"age < {28 + H}").replace("and f.first_ts > (", f"and f.first_ts <= date '{COLD}' - 27 and f.first_ts > (")},
+          caps as (select "level", key1, key2, max(age) cap from profiles group by all),
+          short as (select series_id, (date '{COLD}' - min(ts)) + 1 hist_age, coalesce(sum(case when not stockout then y else 0 end) filter (ts <= date '{COLD}'), 0) hist_sum from sales group by 1 having hist_age > 0 and hist_age < 28),
+          targets as (select series_id, p_brand key1, p_type key2, hist_age, hist_sum, unnest(range(0, hist_age + {H}))::int age from short join parts using (series_id)),
+          looked as (select t.*, coalesce(p0.mean, p1.mean, p2.mean) y_pred from targets t
+          left join caps c0 on c0."level" = 0 and c0.key1 = t.key1 and c0.key2 = t.key2 left join profiles p0 on p0."level" = 0 and p0.key1 = t.key1 and p0.key2 = t.key2 and p0.age = least(t.age, c0.cap) and c0.cap is not null
+          left join caps c1 on c1."level" = 1 and c1.key1 = t.key1 left join profiles p1 on p1."level" = 1 and p1.key1 = t.key1 and p1.age = least(t.age, c1.cap) and c1.cap is not null
+          left join caps c2 on c2."level" = 2 left join profiles p2 on p2."level" = 2 and p2.age = least(t.age, c2.cap) and c2.cap is not null),
+          prior as (select 7 * greatest(coalesce(avg(y_pred), 0), 1e-6) prior from looked where age < hist_age),
+          scales as (select series_id, least(greatest((max(hist_sum) + max(prior)) / (sum(coalesce(y_pred, 0)) + max(prior)), 0.2), 5) scale from looked, prior where age < hist_age group by 1)
+          select series_id, (age - hist_age + 1)::int horizon, round(scale, 6) scale, round(y_pred * scale, 6) y_pred from looked join scales using (series_id) where age >= hist_age""", "l_partkey"),
         "backtest_predictions": _with("select fold, cutoff, origin, series_id, ts, horizon, round(y_pred, 6) y_pred, y_true, stockout, round(mase_scale, 6) mase_scale, bucket, model_age_days from bt"),
         "score_overall": _score_sql([]),
         "score_by_fold": _score_sql(["fold"]),
