@@ -11,6 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Arrow batches between the JVM and Python workers while an intermediate table is written: both sides hold whole ones.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
@@ -34,9 +38,17 @@ def cut(df: DataFrame, what: str) -> DataFrame:
     and Spark knows the size of what it reads, so its own size-checked choice of
     join strategy applies.
     """
-    path = shared_path(df.sparkSession, what)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = shared_path(spark, what)
+    before = {key: spark.conf.get(key, None) for key in BATCHES}
+    try:
+        for key, value in BATCHES.items():
+            spark.conf.set(key, value)
+        df.write.parquet(path)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def arrow_schema(ddl: str) -> pa.Schema:
