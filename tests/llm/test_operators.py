@@ -229,6 +229,16 @@ def test_banded_distance(a, b, limit):
     assert near.banded_distance(a, b, limit) == min(row[-1], limit + 1)
 
 
+def test_banded_distance_over_blocks(monkeypatch):
+    words = [str(i * i % 97) for i in range(500)]
+    other = words[:90] + ["new"] * 7 + words[93:400] + words[410:]
+    whole = near.banded_distance(words, other, 60)
+    assert 10 < whole <= 17
+    monkeypatch.setattr(near, "BLOCK", 16)
+    assert near.banded_distance(words, other, 60) == whole
+    assert near.banded_distance(["a", "b"], ["b", "a"], 0) == 1
+
+
 def test_near_classes(spark):
     draw = random.Random(4)
     word = lambda: "".join(draw.choice("abcdefgh") for _ in range(5))

@@ -36,6 +36,12 @@ SIMILARITY = 0.8
 ROUNDS = 4
 #: Different words whose hashes a worker remembers.
 MEMO = 400_000
+#: Cells over which the members of a class are dealt.
+SALTS = 64
+#: Words in a block of the alignment's bit table.
+BLOCK = 2048
+#: Words of texts that a worker keeps split, besides those of the pair at hand.
+HELD = 100_000
 WORDS = re.compile(r"[^\W_]+")
 _MIX = np.random.default_rng(20240229).integers(1, 2**32, 64, np.uint32) | np.uint32(1)
 
@@ -116,11 +122,9 @@ def banded_distance(a: list, b: list, limit: int) -> int:
         return limit + 1
     if not a:
         return len(b)
-    if max(len(a), len(b)) - sum((Counter(a) & Counter(b)).values()) > limit:
+    if limit < 1 or max(len(a), len(b)) - sum((Counter(a) & Counter(b)).values()) > limit:
         return limit + 1
-    places: dict = {}
-    for i, x in enumerate(a):
-        places[x] = places.get(x, 0) | 1 << i
+    places = _places(a)
     t = max(16, len(b) - len(a))
     while True:
         t = min(t, limit)
@@ -130,10 +134,31 @@ def banded_distance(a: list, b: list, limit: int) -> int:
         t *= 4
 
 
-def _whole(places: dict, n: int, b: list) -> int:
+def _places(a: list) -> list[dict]:
+    """Bits of each word's places, in blocks, so that memory grows with the text and not with its square."""
+    blocks: list[dict] = []
+    for start in range(0, len(a), BLOCK):
+        found: dict = {}
+        for i, x in enumerate(a[start : start + BLOCK]):
+            found[x] = found.get(x, 0) | 1 << i
+        blocks.append(found)
+    return blocks
+
+
+def _bits(places: list[dict], x, first: int, end: int) -> int:
+    """Places of ``x`` from ``first`` on, at least those before ``end``; bit 0 is ``first``."""
+    out = 0
+    for k in range(max(first, 0) // BLOCK, min((end - 1) // BLOCK + 1, len(places))):
+        if found := places[k].get(x):
+            shift = k * BLOCK - first
+            out |= found << shift if shift >= 0 else found >> -shift
+    return out
+
+
+def _whole(places: list[dict], n: int, b: list) -> int:
     full, top, plus, minus, score = (1 << n) - 1, 1 << (n - 1), (1 << n) - 1, 0, n
     for x in b:
-        eq = places.get(x, 0)
+        eq = _bits(places, x, 0, n)
         d0 = (((eq & plus) + plus) ^ plus) | eq | minus
         hp = minus | ~(d0 | plus) & full
         hn = d0 & plus
@@ -143,15 +168,14 @@ def _whole(places: dict, n: int, b: list) -> int:
     return score
 
 
-def _band(places: dict, n: int, b: list, t: int) -> int:
+def _band(places: list[dict], n: int, b: list, t: int) -> int:
     """Distance if at most ``t``, else something above ``t``; n <= len(b) <= n + t, t < n."""
     width = 2 * t + 1
     full, diagonal, across = (1 << width) - 1, 1 << (width - 1), 1 << (width - 2)
     plus, minus, score, first = full >> t << t, 0, t, -t
     most = 2 * t + len(b) - n
     for j, x in enumerate(b):
-        eq = places.get(x, 0)
-        eq = (eq >> first if first >= 0 else eq << -first) & full
+        eq = _bits(places, x, first, first + width) & full
         d0 = ((((eq & plus) + plus) & full) ^ plus) | eq | minus
         hp = minus | ~(d0 | plus) & full
         hn = d0 & plus
@@ -181,16 +205,21 @@ def _verify(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """``node, lead`` -> the same with ``sim``."""
     one = pairs.join(texts.select(F.col("tid").alias("node"), F.col("t").alias("a")), "node")
     both = one.join(texts.select(F.col("tid").alias("lead"), F.col("t").alias("b")), "lead").select("node", "lead", "a", "b")
-    held: dict[str, list[str]] = {}
-
-    def words(text: str) -> list[str]:
-        if text not in held:
-            if len(held) > 64:
-                held.clear()
-            held[text] = words_of(text)
-        return held[text]
 
     def step(cols: dict[str, list]) -> dict[str, list]:
+        held: dict[str, list[str]] = {}
+        count = 0
+
+        def words(text: str) -> list[str]:
+            nonlocal count
+            if text not in held:
+                if count > HELD:
+                    held.clear()
+                    count = 0
+                held[text] = words_of(text)
+                count += len(held[text])
+            return held[text]
+
         return {"node": cols["node"], "lead": cols["lead"], "sim": [similarity(words(x), words(y), least) for x, y in zip(cols["a"], cols["b"], strict=True)]}
 
     return arrow_rows(both, step, "node binary, lead binary, sim double")
@@ -251,10 +280,13 @@ def near_classes(docs: DataFrame, least: float = SIMILARITY, **options) -> DataF
     members, edges = links(docs, least, **options)
     comps = components(edges).withColumnRenamed("node", "n")
     spread = members.join(comps, F.col("tid") == F.col("n"), "left").select("doc_id", F.coalesce("comp", "tid").alias("comp"))
-    spread = cut(spread, "members")
-    sizes = spread.groupBy(F.col("comp").alias("c")).agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")).where("class_size > 1")
+    spread = cut(spread.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))), "members")
+    # a large class is dealt over cells; its totals are taken over them
+    cells = spread.groupBy(F.col("comp").alias("c"), F.col("salt").alias("s")).agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"))
+    whole = Window.partitionBy("c")
+    sizes = cells.select("c", "s", F.min("least").over(whole).alias("class_id"), F.sum("n").over(whole).alias("class_size")).where("class_size > 1")
     ordered = spread.withColumn("nth", F.row_number().over(Window.partitionBy("doc_id", "comp").orderBy(F.lit(0))))
-    out = ordered.join(sizes, F.col("comp") == F.col("c"), "left")
+    out = ordered.join(sizes, F.expr("comp = c and salt = s"), "left")
     alone = F.col("class_size").isNull()
     return out.select(
         "doc_id",
