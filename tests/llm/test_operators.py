@@ -324,6 +324,38 @@ def test_earlier_texts_of_a_group(block):
     assert not len(repeats.earlier(*flat([]), np.zeros(0, np.int64)))
 
 
+def test_near_classes_of_stars_and_chains_equal_all_pairs(spark):
+    draw = random.Random(8)
+    words = lambda n: ["".join(draw.choice("abcdefgh") for _ in range(6)) for _ in range(n)]
+    families = []
+    for n in (10, 40, 300):  # copies are like the base and unlike each other
+        base = words(200)
+        families.append([base] + [base[:at] + words(25) + base[at:] for at in (draw.randrange(200) for _ in range(n))])
+    chain = [words(200)]
+    for at in range(0, 180, 20):  # each is like the next one
+        chain.append(chain[-1][:at] + words(20) + chain[-1][at + 20 :])
+    families.append(chain)
+    passage = words(150)  # many meet at it and are unlike
+    families.append([words(60) + passage for _ in range(60)])
+    texts = [t for family in families for t in family]
+    order = list(range(len(texts)))
+    draw.shuffle(order)
+    got = {r.doc_id: r.class_id for r in near.near_classes(docs_of(spark, [(i, " ".join(texts[k])) for i, k in enumerate(order)])).collect()}
+    comp, start = list(range(len(texts))), 0
+    for family in families:
+        for i in range(start, start + len(family)):
+            for j in range(start, i) if len(family) < 300 else [start]:
+                if near.similarity(texts[i], texts[j]) and comp[i] != comp[j]:
+                    old, new = comp[i], comp[j]
+                    comp = [new if c == old else c for c in comp]
+        start += len(family)
+    assert len(set(comp)) == 4 + 60
+    first = {}
+    for i, k in enumerate(order):
+        first.setdefault(comp[k], i)
+    assert [got[i] for i in range(len(texts))] == [first[comp[k]] for k in order]
+
+
 def test_page_text(spark):
     page = lambda body: f"<html><head><title>T</title></head><body><nav><a href='/'>Home</a></nav>{body}<footer>(c) me</footer></body></html>"
     promo = "<div><span>Read more from us</span></div>"

@@ -7,11 +7,12 @@ that ordered pair is equal. So a meeting needs common k-mers in common order, wh
 what edit similarity asks for. Texts that meet are compared by an alignment of their words
 within a band; they are linked if at least ``SIMILARITY`` of the longer one's words stay.
 
-Equal texts are one node from the start. Where many texts meet, each is compared with the
-smallest one there, not with all. Those that aren't like it meet again among themselves
-under a second hash function, and so on, until no unlike ones are left or ``ROUNDS`` hash
-functions have agreed. Classes are the connected components of the links, by label
-propagation with pointer jumping; nothing is collected.
+Equal texts are one node from the start. Where many texts meet, one of them (the lead) is
+compared with all that aren't in its component yet, then more leads are, those with most
+links first, until all texts there are leads or in one component. So every pair that meets
+is linked, rejected or in one component; no number of rounds or texts ends it. A pair whose
+counts of words already differ too much is rejected without an alignment. Components are
+found by label propagation with pointer jumping; nothing is collected.
 
 Defined results: null and empty texts are equal texts; texts of fewer than ``K`` words have
 one k-mer, all their words; texts without a word are only like equal ones; class_id is the
@@ -32,8 +33,11 @@ from tidepanel.llm.common import arrow_rows, cut, text_of
 K = 5
 BANDS = 24
 SIMILARITY = 0.8
-#: Hash functions that unlike texts must agree on to be compared once more.
-ROUNDS = 4
+#: Leads of a meeting place in one round at most, and by what the number grows from 1; Spark passes on only so many candidates a partition.
+LEADS = 512
+GROWTH = 4
+#: Counters of a text's words, to reject pairs early.
+BAG = 64
 #: Different words whose hashes a worker remembers.
 MEMO = 400_000
 #: Cells over which the members of a class are dealt.
@@ -225,39 +229,80 @@ def _verify(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return arrow_rows(both, step, "node binary, lead binary, sim double")
 
 
-def links(docs: DataFrame, least: float = SIMILARITY, k: int = K, bands: int = BANDS, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
-    """``doc_id, tid`` for every row, and the verified links ``node, lead, sim`` between different texts."""
+def bag(words: list[str]) -> bytes:
+    """Numbers of the words in ``BAG`` classes; a counter stops at its largest value."""
+    if len(_memo) > MEMO:
+        _memo.clear()
+    h = np.fromiter(map(_memo.__getitem__, words), np.uint64, len(words))
+    return np.bincount((h % np.uint64(BAG)).astype(np.int64), minlength=BAG).clip(max=65535).astype("<u2").tobytes()
+
+
+def _possible(pairs: DataFrame, bags: DataFrame, least: float) -> DataFrame:
+    """``node, lead`` without those that can't be similar: each edit changes the common count of words by at most one."""
+    one = pairs.join(bags.select(F.col("tid").alias("node"), F.col("n").alias("na"), F.col("bag").alias("a")), "node")
+    both = one.join(bags.select(F.col("tid").alias("lead"), F.col("n").alias("nb"), F.col("bag").alias("b")), "lead").select("node", "lead", "na", "nb", "a", "b")
+
+    def step(cols: dict[str, list]) -> dict[str, list]:
+        a, b = (np.frombuffer(b"".join(cols[x]), "<u2").reshape(-1, BAG).astype(np.int64) for x in "ab")
+        na, nb = np.array(cols["na"], np.int64), np.array(cols["nb"], np.int64)
+        common = np.minimum(a, b).sum(1) + np.minimum(na - a.sum(1), nb - b.sum(1))
+        longest = np.maximum(na, nb)
+        keep = longest - common <= ((1 - least) * longest + 1e-9).astype(np.int64)
+        return {x: [v for v, kept in zip(cols[x], keep, strict=True) if kept] for x in ("node", "lead")}
+
+    return arrow_rows(both, step, "node binary, lead binary")
+
+
+def _relabelled(label: DataFrame, new: DataFrame) -> DataFrame:
+    """``node, comp`` after the links ``node, lead``."""
+    at = label.withColumnsRenamed({"node": "n", "comp": "c"})
+    half = new.join(at, F.col("node") == F.col("n")).select("lead", F.col("c").alias("x"))
+    ends = cut(half.join(at, F.col("lead") == F.col("n")).select(F.col("x").alias("node"), F.col("c").alias("lead")).where("node != lead").distinct(), "ends")
+    moved = components(ends).withColumnsRenamed({"node": "n", "comp": "c"})
+    return cut(label.join(moved, F.col("comp") == F.col("n"), "left").select("node", F.coalesce("c", "comp").alias("comp")), "labels")
+
+
+def linked(docs: DataFrame, least: float = SIMILARITY, k: int = K, bands: int = BANDS) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, tid`` for every row, and ``node, comp`` for the texts that meet others."""
     rows = docs.select(docs["doc_id"].alias("doc_id"), text_of(docs).alias("t")).withColumn("tid", F.unhex(F.substring(F.sha2("t", 256), 1, 32)))
 
     def step(cols: dict[str, list]) -> dict[str, list]:
         found = [words_of(t) for t in cols["t"]]
-        return {"doc_id": cols["doc_id"], "tid": cols["tid"], "keys": [sketch(w, k, bands).view(np.int64) if w else [] for w in found]}
+        keys = [sketch(w, k, bands).view(np.int64) if w else [] for w in found]
+        return {"doc_id": cols["doc_id"], "tid": cols["tid"], "keys": keys, "n": [len(w) for w in found], "bag": [bag(w) for w in found]}
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    sketched = cut(arrow_rows(rows, step, f"doc_id {kind}, tid binary, keys array<bigint>"), "sketches")
-    nodes = sketched.select("tid", "keys")
-    active = nodes.select(F.col("tid").alias("node"), F.posexplode("keys").alias("pos", "key")).distinct()
-    edges: DataFrame | None = None
-    texts: DataFrame | None = None
-    for turn in range(rounds):
-        leads = active.groupBy(F.col("key").alias("k"), F.col("pos").alias("p")).agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead != last").drop("last")
-        meets = cut(active.join(leads, F.expr("key = k and pos = p")).where("node != lead").select("node", "lead", "pos", "key"), "meets")
-        pairs = meets.select("node", "lead").distinct()
-        if texts is None:
-            wanted = cut(pairs.select(F.explode(F.array("node", "lead")).alias("w")).distinct(), "wanted")
-            texts = cut(rows.groupBy("tid").agg(F.first("t").alias("t")).join(wanted, F.col("tid") == F.col("w"), "left_semi"), "texts")
+    sketched = cut(arrow_rows(rows, step, f"doc_id {kind}, tid binary, keys array<bigint>, n int, bag binary"), "sketches")
+    keyed = sketched.select(F.col("tid").alias("node"), F.posexplode("keys").alias("pos", "key")).select(F.xxhash64("pos", "key").alias("b"), "node").distinct()
+    places = keyed.groupBy(F.col("b").alias("p")).agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first != last").select("p")
+    meets = cut(keyed.join(places, F.col("b") == F.col("p"), "left_semi"), "meets")
+    wanted = cut(meets.select(F.col("node").alias("w")).distinct(), "wanted")
+    texts = cut(rows.groupBy("tid").agg(F.first("t").alias("t")).join(wanted, F.col("tid") == F.col("w"), "left_semi"), "texts")
+    bags = cut(sketched.groupBy("tid").agg(F.first("n").alias("n"), F.first("bag").alias("bag")).join(wanted, F.col("tid") == F.col("w"), "left_semi"), "bags")
+    label = wanted.select(F.col("w").alias("node"), F.col("w").alias("comp"))
+    seen: DataFrame | None = None
+    many = 1
+    while True:
+        held = meets.join(label.withColumnRenamed("node", "n"), F.col("node") == F.col("n")).select("b", "node", "comp")
+        if seen is not None:
+            ends = seen.where("sim > 0").select(F.explode(F.array("node", "lead")).alias("e")).groupBy("e").agg(F.count(F.lit(1)).alias("degree"))
+            held = held.join(ends, F.col("node") == F.col("e"), "left").select("b", "node", "comp", F.coalesce("degree", F.lit(0)).alias("degree"))
         else:
-            pairs = pairs.join(edges.select("node", "lead"), ["node", "lead"], "left_anti")
-        new = cut(_verify(pairs, texts, least), "verified")
-        edges = new if edges is None else edges.unionByName(new)
-        unlike = edges.where("sim = 0").select(F.col("node").alias("n"), F.col("lead").alias("l")).distinct()
-        rest = meets.join(unlike, F.expr("node = n and lead = l"), "left_semi")
-        if turn == rounds - 1 or rest.isEmpty():
-            break
-        # unlike ones meet again under one more hash function
-        more = rest.join(nodes.distinct().withColumnRenamed("tid", "n"), F.col("node") == F.col("n"))
-        active = cut(more.select("node", "pos", F.xxhash64("key", F.expr(f"keys[(pos + {turn + 1}) % {bands}]")).alias("key")), "active")
-    return sketched.select("doc_id", "tid"), edges.where("sim > 0")
+            held = held.withColumn("degree", F.lit(0))
+        mixed = held.groupBy(F.col("b").alias("p")).agg(F.min("comp").alias("first"), F.max("comp").alias("last")).where("first != last").select("p")
+        held = cut(held.join(mixed, F.col("b") == F.col("p"), "left_semi"), "held")
+        if held.isEmpty():
+            return sketched.select("doc_id", "tid"), label
+        ranked = held.withColumn("nth", F.row_number().over(Window.partitionBy("b").orderBy(F.desc("degree"), "node")))
+        leads = cut(ranked.where(F.col("nth") <= many).select(F.col("b").alias("p"), F.col("node").alias("l"), F.col("comp").alias("c")), "leads")
+        pairs = held.join(leads, F.expr("b = p")).where("comp != c").select(F.greatest("node", "l").alias("node"), F.least("node", "l").alias("lead")).distinct()
+        if seen is not None:
+            pairs = pairs.join(seen.select("node", "lead"), ["node", "lead"], "left_anti")
+        new = cut(_verify(_possible(pairs, bags, least), texts, least), "verified")
+        seen = new if seen is None else seen.unionByName(new)
+        label = _relabelled(label, new.where("sim > 0").select("node", "lead"))
+        meets = held.join(leads, F.expr("b = p and node = l"), "left_anti").select("b", "node")
+        many = min(many * GROWTH, LEADS)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -277,8 +322,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_classes(docs: DataFrame, least: float = SIMILARITY, **options) -> DataFrame:
     """Documents -> ``doc_id, class_id, class_size, representative``, one row per document."""
-    members, edges = links(docs, least, **options)
-    comps = components(edges).withColumnRenamed("node", "n")
+    members, comps = linked(docs, least, **options)
+    comps = comps.withColumnRenamed("node", "n")
     spread = members.join(comps, F.col("tid") == F.col("n"), "left").select("doc_id", F.coalesce("comp", "tid").alias("comp"))
     spread = cut(spread.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))), "members")
     # a large class is dealt over cells; its totals are taken over them
