@@ -369,6 +369,16 @@ def test_page_text(spark):
     assert html.extract(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
 
 
+def test_page_text_of_copies(spark):
+    promo = "<div><span>Read more from us</span></div>"
+    page = lambda i: f"<nav>at {i}</nav>{promo}<article><div class='body'><p>Story {i % 100}</p></div></article><div><p>Note {i % 100}</p></div>"
+    plain = lambda i: f"<nav>at {i}</nav>{promo}<div><p>Story {i % 100}</p></div>"
+    rows = [(host * 1000 + i, f"http://{name}/{i}", make(i)) for host, (name, make) in enumerate((("a.org", page), ("b.org", plain))) for i in (*range(20), *range(107, 1007, 100))]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert len(got) == 58  # page 7 stands there 10 times, a third of the host's rows, under other menus
+    assert all(text == f"Story {i % 100}" for i, text in got.items())
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 

@@ -4,8 +4,9 @@ A page becomes a tree of elements. What the markup itself names as no part of th
 goes (menus, headers, footers, sidebars, notices, adverts, forms, scripts, reader
 comments); if the page has an ``article`` or ``main`` element, only such elements count.
 Site templates: every element's subtree is hashed (tags and text); Spark counts on how many
-pages of its host a hash occurs, and subtrees that recur on at least ``MIN_PAGES`` pages and
-``MIN_SHARE`` of the host's pages are deleted. Text blocks of an ``article`` or ``main``
+different pages of its host a hash occurs, and subtrees that recur on at least ``MIN_PAGES``
+pages and ``MIN_SHARE`` of the host's different pages are deleted. Pages of a host with the
+same text, templates included, are copies and count once. Text blocks of an ``article`` or ``main``
 element are what is asked for even where pages share a passage, so there only other
 subtrees can be template.
 
@@ -144,16 +145,17 @@ def _candidates(node: Node, inside: bool):
             yield from _candidates(x, within)
 
 
+def content_hash(root: Node) -> int:
+    """Number of a page's text, templates included: copies have the same one."""
+    text = "\n".join(_blocks(root, frozenset()))
+    return int.from_bytes(blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+
+
 def _coded(root: Node) -> dict[int, int]:
     """Element -> number of its subtree, for the candidates."""
     return {id(x): int.from_bytes(_code(x), "little", signed=True) for x in _candidates(root, False)}
 
 
-def subtree_hashes(html: str | None) -> set[int]:
-    """Hashes of all elements of a page that may be template."""
-    return set(_coded(tree(html or "")).values())
-
-
 def _roots(node: Node) -> list[Node]:
     out = []
     for x in node.parts:
@@ -165,7 +167,10 @@ def _roots(node: Node) -> list[Node]:
 def blocks(html: str | None, template: set[int] | frozenset[int] = frozenset()) -> list[str]:
     """Text blocks of the article, in page order."""
     root = tree(html or "")
-    gone = {x for x, code in _coded(root).items() if code in template} if template else frozenset()
+    return _blocks(root, {x for x, code in _coded(root).items() if code in template} if template else frozenset())
+
+
+def _blocks(root: Node, gone: set[int] | frozenset[int]) -> list[str]:
     out: list[str] = []
     held: list[str] = []
 
@@ -201,9 +206,9 @@ def host_of(url: Column) -> Column:
 
 
 def templates(subtrees: DataFrame, hosts: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """``host, code`` (one row per page and subtree) -> the recurring ``host, code``."""
-    counts = subtrees.groupBy("host", "code").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
-    sizes = hosts.groupBy(F.col("host").alias("of")).agg(F.count(F.lit(1)).alias("pages"))
+    """``host, code, content`` (of each page and subtree) and ``host, content`` (of each page) -> the recurring ``host, code``."""
+    counts = subtrees.groupBy("host", "code").agg(F.count_distinct("content").alias("n")).where(F.col("n") >= min_pages)
+    sizes = hosts.groupBy(F.col("host").alias("of")).agg(F.count_distinct("content").alias("pages"))
     return counts.join(sizes, F.col("host") == F.col("of")).where(F.col("n") >= min_share * F.col("pages")).select("host", "code")
 
 
@@ -213,11 +218,16 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN
     keyed = whole.withColumn("host", host_of(F.col("url"))).withColumn("row", F.xxhash64("page_id", "url", "html"))
 
     def hashes(cols: dict[str, list]) -> dict[str, list]:
-        found = [(r, h, c) for r, h, t in zip(cols["row"], cols["host"], cols["html"], strict=True) for c in subtree_hashes(t)]
-        return {n: [x[i] for x in found] for i, n in enumerate(("row", "host", "code"))}
-
-    subtrees = cut(arrow_rows(keyed.select("row", "host", "html"), hashes, "row bigint, host string, code bigint"), "subtrees")
-    recurring = cut(templates(subtrees, keyed.select("host"), min_pages, min_share), "templates").withColumnsRenamed({"host": "h", "code": "c"})
+        found = []
+        for r, h, t in zip(cols["row"], cols["host"], cols["html"], strict=True):
+            root = tree(t or "")
+            content = content_hash(root)
+            found += [(r, h, c, content) for c in (None, *set(_coded(root).values()))]  # no code: the page itself
+        return {n: [x[i] for x in found] for i, n in enumerate(("row", "host", "code", "content"))}
+
+    counted = cut(arrow_rows(keyed.select("row", "host", "html"), hashes, "row bigint, host string, code bigint, content bigint"), "subtrees")
+    subtrees = counted.where("code is not null")
+    recurring = cut(templates(subtrees, counted.where("code is null"), min_pages, min_share), "templates").withColumnsRenamed({"host": "h", "code": "c"})
     doomed = subtrees.join(recurring, F.expr("host = h and code = c"), "left_semi").groupBy(F.col("row").alias("r")).agg(F.collect_set("code").alias("codes"))
     joined = keyed.join(doomed, F.expr("row = r"), "left").select("page_id", "url", "html", "codes")
 
