@@ -379,6 +379,12 @@ def test_page_text_of_copies(spark):
     assert all(text == f"Story {i % 100}" for i, text in got.items())
 
 
+def test_page_text_of_a_large_host(spark):
+    rows = [(i, f"http://a.org/{i}", f"<div><span>Advert {i % 20}</span></div><div><p>Story {i}</p></div>") for i in range(1200)]
+    got = html.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert all(r.text == f"Story {r.page_id}" for r in got) and len(got) == 1200  # each advert on 60 pages, 5%
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 

@@ -5,7 +5,7 @@ goes (menus, headers, footers, sidebars, notices, adverts, forms, scripts, reade
 comments); if the page has an ``article`` or ``main`` element, only such elements count.
 Site templates: every element's subtree is hashed (tags and text); Spark counts on how many
 different pages of its host a hash occurs, and subtrees that recur on at least ``MIN_PAGES``
-pages and ``MIN_SHARE`` of the host's different pages are deleted. Pages of a host with the
+pages, and on ``MIN_SHARE`` of the host's different pages or on ``MANY_PAGES``, are deleted. Pages of a host with the
 same text, templates included, are copies and count once. Text blocks of an ``article`` or ``main``
 element are what is asked for even where pages share a passage, so there only other
 subtrees can be template.
@@ -29,9 +29,10 @@ from pyspark.sql import functions as F
 
 from tidepanel.llm.common import arrow_rows, cut
 
-#: A template recurs on so many pages of its host at least, and on this share of them.
+#: A template recurs on so many pages of its host at least, and on this share of them or on ``MANY_PAGES``.
 MIN_PAGES = 5
 MIN_SHARE = 0.1
+MANY_PAGES = 50
 #: Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template svg iframe".split())
@@ -209,7 +210,7 @@ def templates(subtrees: DataFrame, hosts: DataFrame, min_pages: int = MIN_PAGES,
     """``host, code, content`` (of each page and subtree) and ``host, content`` (of each page) -> the recurring ``host, code``."""
     counts = subtrees.groupBy("host", "code").agg(F.count_distinct("content").alias("n")).where(F.col("n") >= min_pages)
     sizes = hosts.groupBy(F.col("host").alias("of")).agg(F.count_distinct("content").alias("pages"))
-    return counts.join(sizes, F.col("host") == F.col("of")).where(F.col("n") >= min_share * F.col("pages")).select("host", "code")
+    return counts.join(sizes, F.col("host") == F.col("of")).where((F.col("n") >= min_share * F.col("pages")) | (F.col("n") >= MANY_PAGES)).select("host", "code")
 
 
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
