@@ -39,7 +39,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES = [("quality", filter_quality), ("exact", dedup_exact), ("near", dedup_near), ("mix", mix_sources), ("pack", pack_sequences)]
 
-#: Training, sketches and rounding are not SQL; the tests hold the stages against brute force.
+#: Training, sketches and rounding are not SQL; tests hold the near stage's classes of planted families against similar pairs, run() as a whole against nothing.
 ORACLE_SQL = None
 
 
