@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tidepanel.llm import ann, exact, html, langid, mixing, near, packing, quality, repeats, warc
 
@@ -68,15 +69,35 @@ def test_exact(spark):
     assert exact.exact_groups(docs_of(spark, [])).count() == 0
 
 
-@settings(max_examples=40, deadline=None)
+@settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 2**64 - 1) | st.integers(0, 5), max_size=30), min_size=1, max_size=5))
 def test_quotient_filters_merge_without_loss(parts):
-    made = exact.CountingQuotientFilter.merge([exact.CountingQuotientFilter.build(np.array(p, np.uint64)) for p in parts])
-    want = np.unique(np.array([x for p in parts for x in p], np.uint64), return_counts=True)
+    parts = [np.array(p * (1 + 300 * (k == 1)), np.uint64) for k, p in enumerate(parts)]  # counters of one and of nine bytes
+    made = exact.CountingQuotientFilter.merge_all(map(exact.CountingQuotientFilter.build, parts))
+    want = np.unique(np.concatenate(parts), return_counts=True)
     assert (made.fingerprints() == want[0]).all() and (made.counts == want[1]).all()
     again = [exact.CountingQuotientFilter.load(b) for _, b in made.blocks(7)]
+    assert sum(len(f.remainders) for f in again) == len(want[0])
+    for f in again:
+        assert f.dump() == exact.CountingQuotientFilter.load(f.dump()).dump()
     if again:
-        assert (exact.CountingQuotientFilter.merge(again).counts == want[1]).all()
+        whole = exact.CountingQuotientFilter.merge_all(again[::-1])
+        assert (whole.fingerprints() == want[0]).all() and (whole.counts == want[1]).all()
+        twice = whole.merge(whole)
+        assert (twice.counts == 2 * want[1]).all() and len(twice.remainders) == len(want[0])
+
+
+def test_rows_of_one_id_are_told_apart(spark):
+    """Near and exact stages drop the row that is a copy, not another one of its id."""
+    words = " ".join(f"w{i}" for i in range(100))
+    other = " ".join(f"v{i}" for i in range(100))
+    rows = [(3, words + " a", "s"), (7, words + " b", "s"), (7, other, "s"), (7, other, "t"), (9, None, "s")]
+    kept = near.drop_near_copies(docs_of(spark, [r[:2] for r in rows], [r[2] for r in rows])).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(3, words + " a"), (7, other), (9, None)]
+    twice = docs_of(spark, [(5, "x"), (5, "x"), (5, "y")], ["b", "a", "c"])
+    assert len({str(sorted(exact.drop_copies(twice.orderBy(F.rand(k))).collect())) for k in range(4)}) == 1
+    odd = docs_of(spark, ODD).selectExpr("*", "1 as own_0", "array(map(1, 2)) as nth", "text as tid", "'c' as comp")
+    assert near.drop_near_copies(odd).columns == odd.columns and exact.drop_copies(odd).count() == len({t or "" for _, t in ODD})
 
 
 @pytest.mark.parametrize("least", [0, 10])

@@ -18,10 +18,12 @@ BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.ex
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (tests, a laptop) a local folder is made and set.
+    Only with a local master (tests, a laptop) a local folder may take its place.
     """
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if found is None:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = getattr(shared_dir, "own", None) or tempfile.mkdtemp(prefix="tidepanel-")
         shared_dir.own = found
     return found.rstrip("/")
@@ -86,5 +88,24 @@ def gather(batches: Iterator[pa.RecordBatch]) -> pa.Table | None:
     return pa.Table.from_batches(found) if found else None
 
 
+def fresh_names(df: DataFrame, n: int) -> list[str]:
+    """Names that no column of ``df`` has."""
+    taken, out, k = {c.lower() for c in df.columns}, [], 0
+    while len(out) < n:
+        if (name := f"own_{k}") not in taken:
+            out.append(name)
+        k += 1
+    return out
+
+
+def row_order(df: DataFrame) -> Column:
+    """A number by which rows that differ in any column have the same order in every run."""
+    from pyspark.sql.types import AtomicType, StringType
+
+    plain = [f.name for f in df.schema if isinstance(f.dataType, (AtomicType, StringType))]
+    nested = [f.name for f in df.schema if f.name not in plain]
+    return F.xxhash64(*[df[f"`{n}`"] for n in plain], *[F.to_json(F.struct(df[f"`{n}`"])) for n in nested])
+
+
 def text_of(df: DataFrame, name: str = "text") -> Column:
     return F.coalesce(df[name].cast("string"), F.lit(""))

@@ -3,103 +3,152 @@
 Each partition puts the 64-bit fingerprints of its texts into a counting quotient
 filter: the high bits (quotient) address a run of slots, the low bits (remainder) are
 kept sorted in it, and every remainder has a counter, so equal fingerprints take one
-slot. Filters of the same quotient block merge without loss by merging their sorted
-remainders and adding counters. Fingerprints whose merged count is above one go to byte
+slot. Only runs, remainders and counters are shuffled. Filters of the same quotient block merge
+without loss by merging their sorted remainders and adding counters, in a binary tree. Fingerprints whose merged count is above one go to byte
 verification, where texts are grouped by their bytes; all others are unique for certain.
 
 Defined results: a null text counts as empty; of equal texts the row with the largest
 doc_id stays (null is smallest), of repeated rows (same doc_id, same text) exactly one;
+which of them is told by their other columns; very long texts are hashed and compared whole;
 an empty table gives an empty result. Extra columns take no part.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepanel.llm.common import cut, text_of
+from tidepanel.llm.common import cut, fresh_names, row_order, text_of
 
 #: Quotient blocks that are merged apart from each other.
 BLOCKS = 256
+REMAINDER_BITS = 48
 
 
 class CountingQuotientFilter:
     """A lossless multiset of 64-bit fingerprints in quotient form.
 
-    ``used`` holds the quotients that occur, ``ends`` the end of each one's run of slots,
-    ``remainders`` the slots, sorted within a run, and ``counts`` a counter per slot.
+    The leading ``64 - REMAINDER_BITS`` bits of a fingerprint are its quotient, the others its
+    remainder. ``runs`` holds the end of each quotient's run of slots (from the filter's first
+    quotient on), ``remainders`` the slots, ascending within a run, ``counts`` a counter per slot.
     """
 
-    def __init__(self, used: np.ndarray, ends: np.ndarray, remainders: np.ndarray, counts: np.ndarray, remainder_bits: int) -> None:
-        self.used, self.ends, self.remainders, self.counts, self.remainder_bits = used, ends, remainders, counts, remainder_bits
+    def __init__(self, first: int, runs: np.ndarray, remainders: np.ndarray, counts: np.ndarray) -> None:
+        self.first, self.runs, self.remainders, self.counts = first, runs, remainders, counts
 
     @classmethod
-    def _of(cls, prints: np.ndarray, counts: np.ndarray, remainder_bits: int) -> CountingQuotientFilter:
-        order = np.argsort(prints, kind="stable")
-        prints, counts = prints[order], counts[order]
-        starts = np.flatnonzero(np.r_[True, prints[1:] != prints[:-1]]) if len(prints) else np.zeros(0, np.int64)
-        counts = np.add.reduceat(counts, starts) if len(starts) else counts
-        prints = prints[starts]
-        quotients = prints >> np.uint64(remainder_bits)
-        ends = np.flatnonzero(np.r_[quotients[1:] != quotients[:-1], True]) + 1 if len(prints) else np.zeros(0, np.int64)
-        return cls(quotients[ends - 1], ends, prints & np.uint64((1 << remainder_bits) - 1), counts, remainder_bits)
+    def _of(cls, prints: np.ndarray, counts: np.ndarray) -> CountingQuotientFilter:
+        """From ascending, different fingerprints."""
+        if not len(prints):
+            return cls(0, np.zeros(0, np.int64), prints, counts)
+        quotients = (prints >> np.uint64(REMAINDER_BITS)).astype(np.int64)
+        runs = np.cumsum(np.bincount(quotients - quotients[0]))
+        return cls(int(quotients[0]), runs, prints & np.uint64((1 << REMAINDER_BITS) - 1), counts)
 
     @classmethod
-    def build(cls, prints: np.ndarray, remainder_bits: int = 44) -> CountingQuotientFilter:
-        return cls._of(prints.astype(np.uint64), np.ones(len(prints), np.int64), remainder_bits)
+    def build(cls, prints: np.ndarray) -> CountingQuotientFilter:
+        return cls._of(*np.unique(prints.astype(np.uint64), return_counts=True))
 
     def fingerprints(self) -> np.ndarray:
-        runs = np.diff(np.r_[0, self.ends])
-        return (np.repeat(self.used, runs) << np.uint64(self.remainder_bits)) | self.remainders
-
-    @classmethod
-    def merge(cls, filters: list[CountingQuotientFilter]) -> CountingQuotientFilter:
-        """Quotients and sorted remainders determine the fingerprints, so nothing is lost."""
-        bits = filters[0].remainder_bits
-        return cls._of(np.concatenate([f.fingerprints() for f in filters]), np.concatenate([f.counts for f in filters]), bits)
+        quotients = np.repeat(np.arange(self.first, self.first + len(self.runs)).astype(np.uint64), np.diff(self.runs, prepend=0))
+        return quotients << np.uint64(REMAINDER_BITS) | self.remainders
+
+    def merge(self, other: CountingQuotientFilter) -> CountingQuotientFilter:
+        """Both are in order of quotient and remainder, so each slot's place in the merged order is found, not sorted for."""
+        if len(self.remainders) < len(other.remainders):
+            return other.merge(self)
+        mine, more = self.fingerprints(), other.fingerprints()
+        at = np.searchsorted(mine, more)
+        known = np.zeros(len(more), bool)
+        inside = at < len(mine)
+        known[inside] = mine[at[inside]] == more[inside]
+        counts = self.counts.copy()
+        counts[at[known]] += other.counts[known]  # no fingerprint occurs twice in a filter
+        fresh = np.flatnonzero(~known)
+        place = at[fresh] + np.arange(len(fresh))
+        prints, sums = np.empty(len(mine) + len(fresh), np.uint64), np.empty(len(mine) + len(fresh), np.int64)
+        old = np.ones(len(prints), bool)
+        old[place] = False
+        prints[place], prints[old] = more[fresh], mine
+        sums[place], sums[old] = other.counts[fresh], counts
+        return self._of(prints, sums)
+
+    @staticmethod
+    def merge_all(filters: Iterable[CountingQuotientFilter]) -> CountingQuotientFilter | None:
+        """A binary tree of merges: at each time, filters held at least halve in size from one to the next."""
+        held: list[CountingQuotientFilter] = []
+        for new in filters:
+            held.append(new)
+            while len(held) > 1 and 2 * len(held[-1].remainders) >= len(held[-2].remainders):
+                new = held.pop()
+                held.append(held.pop().merge(new))
+        while len(held) > 1:
+            new = held.pop()
+            held.append(held.pop().merge(new))
+        return held[0] if held else None
 
     def blocks(self, n: int) -> Iterator[tuple[int, bytes]]:
-        """The filter in ``n`` pieces by the leading bits of the fingerprint."""
-        prints = self.fingerprints()
-        where = (prints >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)
-        edges = np.searchsorted(where, np.arange(n + 1, dtype=np.uint64))
-        for k in range(n):
-            a, b = edges[k], edges[k + 1]
-            if b > a:
-                yield k, prints[a:b].tobytes() + self.counts[a:b].tobytes()
+        """The filter in ``n`` ranges of quotients, those that have slots."""
+        width = -(-(1 << 64 - REMAINDER_BITS) // n)
+        last = self.first + len(self.runs)
+        for k in range(self.first // width, -(-last // width)):
+            a, b = max(k * width, self.first), min((k + 1) * width, last)
+            start, end = int(self.runs[a - self.first - 1]) if a > self.first else 0, int(self.runs[b - self.first - 1])
+            if end > start:
+                yield k, CountingQuotientFilter(a, self.runs[a - self.first : b - self.first] - start, self.remainders[start:end], self.counts[start:end]).dump()
+
+    def dump(self) -> bytes:
+        """First quotient, lengths of runs, remainders in their own bits, and counters of variable length.
+
+        A counter takes no byte for 1, one byte up to 255 and nine above that; a bit per slot tells whether there is any.
+        """
+        many = self.counts > 1
+        short = np.minimum(self.counts[many] - 1, 255).astype(np.uint8)
+        slots = self.remainders.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : REMAINDER_BITS // 8]
+        head = np.array([self.first, len(self.runs), len(self.remainders), len(short)], "<i8")
+        parts = head, np.diff(self.runs, prepend=0).astype("<u4"), np.ascontiguousarray(slots), np.packbits(many), short, self.counts[many][short == 255].astype("<i8")
+        return b"".join(x.tobytes() for x in parts)
 
     @classmethod
-    def load(cls, data: bytes, remainder_bits: int = 44) -> CountingQuotientFilter:
-        half = len(data) // 2
-        return cls._of(np.frombuffer(data[:half], np.uint64), np.frombuffer(data[half:], np.int64), remainder_bits)
+    def load(cls, data: bytes) -> CountingQuotientFilter:
+        first, quotients, slots, counted = np.frombuffer(data, "<i8", 4).tolist()
+        at = 32
+        runs = np.cumsum(np.frombuffer(data, "<u4", quotients, at), dtype=np.int64)
+        at += 4 * quotients
+        wide = np.zeros((slots, 8), np.uint8)
+        size = REMAINDER_BITS // 8
+        wide[:, :size] = np.frombuffer(data, np.uint8, slots * size, at).reshape(slots, size)
+        at += slots * size
+        flags = -(-slots // 8)
+        many = np.unpackbits(np.frombuffer(data, np.uint8, flags, at), count=slots).astype(bool)
+        at += flags
+        short = np.frombuffer(data, np.uint8, counted, at)
+        counts, own = np.ones(slots, np.int64), short.astype(np.int64) + 1
+        own[short == 255] = np.frombuffer(data, "<i8", -1, at + counted)
+        counts[many] = own
+        return cls(first, runs, wide.view("<u8").ravel(), counts)
 
 
 def repeated_fingerprints(prints: DataFrame, blocks: int = BLOCKS) -> DataFrame:
     """``fp`` (bigint, one row per text) -> the fingerprints that occur more than once, with counts."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own: CountingQuotientFilter | None = None
-        for batch in batches:
-            new = CountingQuotientFilter.build(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
-            own = new if own is None else CountingQuotientFilter.merge([own, new])
+        own = CountingQuotientFilter.merge_all(CountingQuotientFilter.build(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)) for batch in batches)
         pieces = list(own.blocks(blocks)) if own is not None else []
         if pieces:
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in pieces], pa.int32()), pa.array([b for _, b in pieces], pa.binary())], names=["block", "filter"])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, list[CountingQuotientFilter]] = {}
+        found: dict[int, list[bytes]] = {}
         for batch in batches:
             for k, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                held = found.setdefault(k, [])
-                held.append(CountingQuotientFilter.load(data))
-                if len(held) == 32:
-                    found[k] = [CountingQuotientFilter.merge(held)]
-        for held in found.values():
-            whole = CountingQuotientFilter.merge(held)
+                found.setdefault(k, []).append(data)
+        for k in list(found):
+            whole = CountingQuotientFilter.merge_all(map(CountingQuotientFilter.load, found.pop(k)))
             many = whole.counts > 1
             yield pa.RecordBatch.from_arrays([pa.array(whole.fingerprints()[many].view(np.int64)), pa.array(whole.counts[many])], names=["fp", "n"])
 
@@ -132,8 +181,9 @@ def exact_groups(docs: DataFrame, blocks: int = BLOCKS) -> DataFrame:
 def drop_copies(docs: DataFrame, **options) -> DataFrame:
     """The documents that stay, with all their columns."""
     names = docs.columns
-    gone = exact_groups(docs, **options).where("not kept").groupBy(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")).agg(F.count(F.lit(1)).alias("__gone"))
-    marked = docs.withColumn("__sha256", F.sha2(text_of(docs), 256))
-    marked = marked.withColumn("__nth", F.row_number().over(Window.partitionBy("doc_id", "__sha256").orderBy(F.lit(0))))
-    joined = marked.join(gone, F.expr("doc_id <=> __id and __sha256 = __sha"), "left")
-    return joined.where("coalesce(__gone, 0) < __nth").select(*[F.col(f"`{n}`") for n in names])
+    id_, sha, gone, own, nth = fresh_names(docs, 5)
+    lost = exact_groups(docs, **options).where("not kept").groupBy(F.col("doc_id").alias(id_), F.col("text_sha256").alias(sha)).agg(F.count(F.lit(1)).alias(gone))
+    marked = docs.withColumn(own, F.sha2(text_of(docs), 256))
+    marked = marked.withColumn(nth, F.row_number().over(Window.partitionBy("doc_id", own).orderBy(row_order(docs))))
+    joined = marked.join(lost, F.expr(f"doc_id <=> {id_} and {own} = {sha}"), "left")
+    return joined.where(f"coalesce({gone}, 0) < {nth}").select(*[F.col(f"`{n}`") for n in names])

@@ -16,7 +16,10 @@ found by label propagation with pointer jumping; nothing is collected.
 
 Defined results: null and empty texts are equal texts; texts of fewer than ``K`` words have
 one k-mer, all their words; texts without a word are only like equal ones; class_id is the
-smallest doc_id of the class (null if all are); repeated rows each give a row.
+smallest doc_id of the class (null if all are); repeated rows each give a row; of rows that
+share a class's smallest doc_id, the one with the smallest hash of its text represents it; very
+long texts are sketched and aligned whole; an empty table gives an empty result; extra columns
+take no part.
 """
 
 from __future__ import annotations
@@ -25,10 +28,10 @@ import re
 from collections import Counter
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepanel.llm.common import arrow_rows, cut, text_of
+from tidepanel.llm.common import arrow_rows, cut, fresh_names, row_order, text_of
 
 K = 5
 BANDS = 24
@@ -262,9 +265,13 @@ def _relabelled(label: DataFrame, new: DataFrame) -> DataFrame:
     return cut(label.join(moved, F.col("comp") == F.col("n"), "left").select("node", F.coalesce("c", "comp").alias("comp")), "labels")
 
 
+def text_id(text: Column) -> Column:
+    return F.unhex(F.substring(F.sha2(text, 256), 1, 32))
+
+
 def linked(docs: DataFrame, least: float = SIMILARITY, k: int = K, bands: int = BANDS) -> tuple[DataFrame, DataFrame]:
     """``doc_id, tid`` for every row, and ``node, comp`` for the texts that meet others."""
-    rows = docs.select(docs["doc_id"].alias("doc_id"), text_of(docs).alias("t")).withColumn("tid", F.unhex(F.substring(F.sha2("t", 256), 1, 32)))
+    rows = docs.select(docs["doc_id"].alias("doc_id"), text_of(docs).alias("t")).withColumn("tid", text_id(F.col("t")))
 
     def step(cols: dict[str, list]) -> dict[str, list]:
         found = [words_of(t) for t in cols["t"]]
@@ -320,31 +327,40 @@ def components(edges: DataFrame) -> DataFrame:
         label = new.select("node", "comp")
 
 
-def near_classes(docs: DataFrame, least: float = SIMILARITY, **options) -> DataFrame:
-    """Documents -> ``doc_id, class_id, class_size, representative``, one row per document."""
+def _members(docs: DataFrame, least: float = SIMILARITY, **options) -> DataFrame:
+    """Documents -> ``doc_id, tid, class_id, class_size, representative``; equal rows of a representative are numbered, one is it."""
     members, comps = linked(docs, least, **options)
     comps = comps.withColumnRenamed("node", "n")
-    spread = members.join(comps, F.col("tid") == F.col("n"), "left").select("doc_id", F.coalesce("comp", "tid").alias("comp"))
+    spread = members.join(comps, F.col("tid") == F.col("n"), "left").select("doc_id", "tid", F.coalesce("comp", "tid").alias("comp"))
     spread = cut(spread.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))), "members")
     # a large class is dealt over cells; its totals are taken over them
     cells = spread.groupBy(F.col("comp").alias("c"), F.col("salt").alias("s")).agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"))
     whole = Window.partitionBy("c")
     sizes = cells.select("c", "s", F.min("least").over(whole).alias("class_id"), F.sum("n").over(whole).alias("class_size")).where("class_size > 1")
-    ordered = spread.withColumn("nth", F.row_number().over(Window.partitionBy("doc_id", "comp").orderBy(F.lit(0))))
+    # of rows that share the smallest doc_id of a class, the one with the smallest hash of its text
+    ordered = spread.withColumn("nth", F.row_number().over(Window.partitionBy("doc_id", "comp").orderBy("tid")))
     out = ordered.join(sizes, F.expr("comp = c and salt = s"), "left")
     alone = F.col("class_size").isNull()
     return out.select(
         "doc_id",
+        "tid",
         F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("class_size", F.lit(1)).cast("bigint").alias("class_size"),
         (alone | (F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("nth") == 1))).alias("representative"),
     )
 
 
+def near_classes(docs: DataFrame, least: float = SIMILARITY, **options) -> DataFrame:
+    """Documents -> ``doc_id, class_id, class_size, representative``, one row per document."""
+    return _members(docs, least, **options).drop("tid")
+
+
 def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
-    """One document of each class, the one with the smallest doc_id, with all columns."""
+    """One document of each class, the one with the smallest doc_id, with all columns; rows are told by doc_id and text."""
     names = docs.columns
-    classes = near_classes(docs, **options)
-    gone = classes.where("not representative").groupBy(F.col("doc_id").alias("__id")).agg(F.count(F.lit(1)).alias("__gone"))
-    marked = docs.withColumn("__nth", F.row_number().over(Window.partitionBy("doc_id").orderBy("text")))
-    return marked.join(gone, F.expr("doc_id <=> __id"), "left").where("coalesce(__gone, 0) < __nth").select(*[F.col(f"`{n}`") for n in names])
+    id_, tid, gone, nth = fresh_names(docs, 4)
+    lost = _members(docs, **options).where("not representative").groupBy(F.col("doc_id").alias(id_), F.col("tid").alias(tid)).agg(F.count(F.lit(1)).alias(gone))
+    own = text_id(text_of(docs))
+    marked = docs.withColumn(nth, F.row_number().over(Window.partitionBy(docs["doc_id"], own).orderBy(row_order(docs))))
+    joined = marked.join(lost, marked["doc_id"].eqNullSafe(F.col(id_)) & (text_id(text_of(marked)) == F.col(tid)), "left")
+    return joined.where(F.coalesce(F.col(gone), F.lit(0)) < F.col(nth)).select(*[F.col(f"`{n}`") for n in names])
