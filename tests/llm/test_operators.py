@@ -304,6 +304,21 @@ def test_repeats(spark):
     assert repeats.remove_repeats(docs_of(spark, [])).count() == 0
 
 
+def test_repeated_rows_keep_a_text_found_nowhere_else(spark):
+    draw = random.Random(2)
+    alone, other = ("".join(draw.choice("abcdefghij ") for _ in range(600)) for _ in range(2))
+    rows = [(1, alone)] * 5 + [(2, other + alone), (3, other), (3, other), (4, alone[:300] * 2), (4, alone[:300] * 2)]
+    for parts in (1, 5):
+        got = repeats.remove_repeats(docs_of(spark, rows).repartition(parts), keep_bytes=True).collect()
+        kept = sorted((r.doc_id, bytes(r.kept).decode()) for r in got)
+        assert kept == sorted([(1, alone)] * 5 + [(2, other), (3, ""), (3, ""), (4, ""), (4, "")], key=lambda x: x)
+    fresh = "".join(draw.choice("klmnop") for _ in range(150))
+    got = repeats.remove_repeats(docs_of(spark, [(5, fresh + fresh)] * 4), keep_bytes=True).collect()
+    assert len(got) == 4 and {bytes(r.kept).decode() for r in got} == {fresh}
+    with pytest.raises(TypeError):
+        repeats.remove_repeats(docs_of(spark, rows).selectExpr("cast(doc_id as string) as doc_id", "text"))
+
+
 def flat(texts):
     return np.frombuffer(b"".join(texts), np.uint8), np.array([len(x) for x in texts], np.int64)
 

@@ -16,9 +16,12 @@ are combined within each batch before the shuffle, so a passage that very many d
 share costs one row per task; they are told by a 64-bit polynomial hash of their bytes.
 Matches in the index are of bytes.
 
-Defined results: a null text is empty; documents of one doc_id and one text are one
-document; of documents that share a doc_id, the smaller text comes first; a null doc_id
-comes before all others; texts shorter than ``LENGTH`` keep all bytes.
+Defined results: a null text is empty; rows of one doc_id and one text are one document, each
+of them gets its result, and none is earlier than another; of different texts that share a
+doc_id, the one with the smaller hash comes first; a null doc_id comes before all others; texts
+shorter than ``LENGTH`` keep all bytes; very long texts are read whole, in overlapping pieces; an
+empty table gives an empty result; a doc_id that isn't an integer is an error; extra columns
+take no part.
 """
 
 from __future__ import annotations
@@ -107,14 +110,17 @@ def runs(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.n
 
 
 def _first_of(keys: tuple[np.ndarray, ...], order: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted index by keys, then order; and for each sorted place whether it is the first of its keys."""
+    """Sorted index by keys, then order, of what differs in them; and for each sorted place whether it is the first of its keys."""
     index = np.lexsort((*order[::-1], *keys[::-1]))
-    new = np.zeros(len(index), bool)
+    new, other = np.zeros(len(index), bool), np.zeros(len(index), bool)
     if len(index):
-        new[0] = True
+        new[0] = other[0] = True
     for k in keys:
         new[1:] |= k[index][1:] != k[index][:-1]
-    return index, new
+    for k in order:
+        other[1:] |= k[index][1:] != k[index][:-1]
+    kept = new | other  # one place of one document is one occurrence, however many rows hold it
+    return index[kept], new[kept]
 
 
 def _numpy(table: pa.Table | pa.RecordBatch, *names: str) -> list[np.ndarray]:
@@ -134,9 +140,7 @@ def _occurrences(texts: DataFrame, length: int) -> DataFrame:
     def emit(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
         anchor, run, doc, uid, pos = (np.concatenate(x) for x in zip(*parts, strict=True))
         index, first = _first_of((anchor, run), (doc, uid, pos))
-        kind = np.empty(len(index), np.int32)
-        kind[index] = np.where(first, 0, 1)
-        cols = kind, anchor.view(np.int64), run.view(np.int64), doc, uid, pos
+        cols = np.where(first, 0, 1), anchor.view(np.int64)[index], run.view(np.int64)[index], doc[index], uid[index], pos[index]
         return pa.RecordBatch.from_arrays([pa.array(c.astype(f.type.to_pandas_dtype()), f.type) for c, f in zip(cols, target, strict=True)], schema=target)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -361,8 +365,15 @@ def _match_runs(contexts: DataFrame, length: int) -> DataFrame:
     def spans(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(parts)
         anchor, doc, uid, lo = _numpy(table, "anchor", "doc", "uid", "lo")
-        sizes = np.fromiter((len(x.as_buffer()) for b in parts for x in b.column("bytes")), np.int64, len(lo))
-        data = np.frombuffer(b"".join(memoryview(x.as_buffer()) for b in parts for x in b.column("bytes")), np.uint8)
+        same = np.ones(len(lo), bool)
+        same[:1] = False
+        for x in (anchor, doc, uid, lo):
+            same[1:] &= x[1:] == x[:-1]
+        own = np.flatnonzero(~same)  # rows that repeat a document and its text are that document
+        table, anchor, doc, uid, lo = table.take(pa.array(own)), anchor[own], doc[own], uid[own], lo[own]
+        texts = [x.as_buffer() for x in table.column("bytes")]
+        sizes = np.fromiter((len(x) for x in texts), np.int64, len(lo))
+        data = np.frombuffer(b"".join(map(memoryview, texts)), np.uint8)
         hit = np.flatnonzero(earlier(data, sizes, anchor, length))
         if len(hit):
             row = np.searchsorted(np.cumsum(sizes), hit, "right")
@@ -413,7 +424,8 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
     """Texts (``doc, uid, bytes``) and the spans (``doc, uid, lo, hi``) of their bytes that repeat."""
     text = text_of(docs)
-    assert docs.schema["doc_id"].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint"), "doc_id gives the order of documents"
+    if docs.schema["doc_id"].dataType.simpleString() not in ("bigint", "int", "smallint", "tinyint"):
+        raise TypeError("doc_id gives the order of documents, so it has to be an integer")
     doc = F.coalesce(docs["doc_id"].cast("bigint"), F.lit(NULL_ID))  # nulls come first
     # where a doc_id occurs more than once, a hash of the text tells its rows apart
     many = cut(docs.select(doc.alias("m")).groupBy("m").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("m"), "shared_ids")
