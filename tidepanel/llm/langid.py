@@ -14,13 +14,17 @@ need the recursion.
 Learning takes at most about ``SAMPLE`` documents of every language (chosen by hash of the
 id) from those not held out; every text is labelled whole.
 
-Defined results: a text that is null or has no letter is ``und`` with score 0; documents
-of null language teach nothing; without any to learn from, every text is ``und``.
+Defined results: a text that is null or has no letter (numerals are none) is ``und`` with score
+0; documents of null language teach nothing; without any to learn from, every text is ``und``;
+of languages with equal scores the first by name is taken; very long texts are labelled whole;
+repeated rows each teach and give a row; an empty table gives an empty result; extra columns
+take no part.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from itertools import groupby
 
 import numpy as np
@@ -44,6 +48,31 @@ SCRIPTS = {
     "kana": ((0x3040, 0x30FF),), "han": ((0x3400, 0x9FFF),), "hangul": ((0xAC00, 0xD7AF), (0x1100, 0x11FF)),
 }
 LETTERS = re.compile(r"[^\W\d_]+")
+#: Share of a language's words that a script needs to count as one it is written in.
+MIN_SCRIPT = 0.01
+
+
+def words_in(text: str) -> list[tuple[int, str]]:
+    """Start and letters of each word; numerals that aren't digits (fractions, circled numbers) are no letters."""
+    out = []
+    for m in LETTERS.finditer(text):
+        word = m.group()
+        if word.isalpha():
+            out.append((m.start(), word))
+        else:
+            at = m.start()
+            for letters, run in groupby(word, key=str.isalpha):
+                part = "".join(run)
+                if letters:
+                    out.append((at, part))
+                at += len(part)
+    return out
+
+
+def letters_of(text: str) -> list[str]:
+    """The words alone."""
+    found = LETTERS.findall(text)
+    return found if "".join(found).isalpha() or not found else [w for _, w in words_in(text)]
 
 
 def script_of(word: str) -> str:
@@ -78,7 +107,8 @@ class Model:
         self.langs, self.penalty = langs, penalty
         smooth = counts + 0.5
         self.logs = np.log(smooth / smooth.sum(0)).astype(np.float32)
-        self.logs -= self.logs.mean(1, keepdims=True)  # only differences between languages count
+        if langs:
+            self.logs -= self.logs.mean(1, keepdims=True)  # only differences between languages count
         self.allowed = {s: np.array([x in found for x in langs]) for s, found in scripts.items()}
         self.narrows = not all(ok.all() for ok in self.allowed.values())
         self.memo: dict[str, int] = {}
@@ -130,7 +160,7 @@ class Model:
         return out
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        words = LETTERS.findall(text.lower()) if text else []
+        words = letters_of(text.lower()) if text else []
         if not words or not self.langs:
             return "und", 0.0
         scores = self.word_scores(words)
@@ -146,14 +176,14 @@ class Model:
 
     def spans(self, text: str | None) -> list[tuple[int, int, str]]:
         """(start, end, language) in characters, for mixed texts."""
-        found = list(LETTERS.finditer(text or ""))
+        found = words_in(text or "")
         if not found or not self.langs:
             return []
-        way = self.path(self.word_scores([m.group().lower() for m in found]))
+        way = self.path(self.word_scores([w.lower() for _, w in found]))
         out = []
         for k, run in groupby(zip(way, found, strict=True), key=lambda x: x[0]):
-            held = [m for _, m in run]
-            out.append((held[0].start(), held[-1].end(), self.langs[k]))
+            held = [x for _, x in run]
+            out.append((held[0][0], held[-1][0] + len(held[-1][1]), self.langs[k]))
         return out
 
     def __getstate__(self) -> dict:
@@ -178,25 +208,35 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     def count(cols: dict[str, list]) -> dict[str, list]:
         out: dict[str, list] = {"lang": [], "script": [], "gram": [], "n": []}
         for lang in set(cols["lang"]):
-            words = [w.lower() for t, x in zip(cols["text"], cols["lang"], strict=True) if x == lang for w in LETTERS.findall(t)]
+            words = [w for t, x in zip(cols["text"], cols["lang"], strict=True) if x == lang for w in letters_of(t.lower())]
             if not words:
                 continue
             grams, n = np.unique(ngrams(words)[0], return_counts=True)
-            scripts = sorted({script_of(w) for w in set(words)})
+            scripts = Counter(script_of(w) for w in words)
             out["lang"] += [where[lang]] * (len(grams) + len(scripts))
-            out["script"] += [""] * len(grams) + scripts
+            out["script"] += [""] * len(grams) + list(scripts)
             out["gram"] += grams.tolist() + [-1] * len(scripts)
-            out["n"] += n.tolist() + [1] * len(scripts)
+            out["n"] += n.tolist() + list(scripts.values())
         return out
 
-    counts, scripts = np.zeros((1 << BITS, len(langs))), {}
+    counts, scripts = np.zeros((1 << BITS, len(langs))), [Counter() for _ in langs]
     counted = arrow_rows(chosen.select("text", "lang"), count, "lang int, script string, gram bigint, n bigint")
-    for lang, script, gram, n in counted.groupBy("lang", "script", "gram").agg(F.sum("n")).collect():  # a row per language and n-gram hash
-        if script:
-            scripts.setdefault(script, set()).add(langs[lang])
-        else:
-            counts[gram, lang] = n
-    return Model(langs, counts, scripts)
+    table = counted.groupBy("lang", "script", "gram").agg(F.sum("n").alias("n")).toArrow()  # a row per language and n-gram hash: numbers, as many as the model has
+    lang, gram, n = (table.column(x).to_numpy() for x in ("lang", "gram", "n"))
+    counts[gram[gram >= 0], lang[gram >= 0]] = n[gram >= 0]
+    for k in np.flatnonzero(gram < 0):
+        scripts[lang[k]][table.column("script")[int(k)].as_py()] += int(n[k])
+    return Model(langs, counts, scripts_of(dict(zip(langs, scripts, strict=True))))
+
+
+def scripts_of(words: dict[str, dict[str, int]], share: float = MIN_SCRIPT) -> dict[str, set[str]]:
+    """Words of each language by script -> the languages that each script is written in."""
+    out: dict[str, set[str]] = {}
+    for lang, found in words.items():
+        for script, n in found.items():
+            if n >= share * sum(found.values()):
+                out.setdefault(script, set()).add(lang)
+    return out
 
 
 def label(docs: DataFrame, model: Model) -> DataFrame:

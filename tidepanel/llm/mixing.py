@@ -18,8 +18,8 @@ a block of the next level, and at last the classes of a source are folded, large
 sizes first, so that what is left over is small. No block grows with a source.
 
 Defined results: a null text has size 0 and takes 0 words; a null source is a source
-of its own, last in order; repeated rows are rounded one by one; an empty table gives
-an empty result.
+of its own, last in order; repeated rows are rounded one by one; very long texts count whole;
+an empty table gives an empty result; extra columns take no part.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepanel.llm.common import cut
+from tidepanel.llm.common import cut, fresh_names, row_order
 
 #: Fractional documents that one fold takes on average.
 BLOCK = 64
@@ -176,10 +176,14 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 def take_copies(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every document as often as it is taken, with all its columns.
 
-    Documents that hold no word count as taken once, since they weigh nothing.
+    Documents that hold no word count as taken once, since they weigh nothing. Rows that share
+    doc_id, source and size are told by their other columns, alike in every run.
     """
     names = docs.columns
-    keyed = docs.withColumn("__size", word_count(docs)).withColumn("__ord", F.row_number().over(Window.partitionBy("doc_id", "source", "__size").orderBy(F.lit(0))))
-    plan = mix(docs, **options).where("copies > 0 or size = 0").select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__words"), F.col("ord").alias("__nth"), F.greatest("copies", F.lit(1)).alias("__copies"))
-    joined = keyed.join(plan, F.expr("doc_id <=> __id and source <=> __source and __size = __words and __ord = __nth"))
-    return joined.select(*[F.col(f"`{n}`") for n in names], F.explode(F.sequence(F.lit(1), "__copies")).alias("__copy")).drop("__copy")
+    size, nth, id_, source, words, number, copies, one = fresh_names(docs, 8)
+    keyed = docs.withColumn(size, word_count(docs))
+    keyed = keyed.withColumn(nth, F.row_number().over(Window.partitionBy("doc_id", "source", size).orderBy(row_order(docs))))
+    plan = mix(docs, **options).where("copies > 0 or size = 0")
+    plan = plan.select(F.col("doc_id").alias(id_), F.col("source").alias(source), F.col("size").alias(words), F.col("ord").alias(number), F.greatest("copies", F.lit(1)).alias(copies))
+    joined = keyed.join(plan, F.expr(f"doc_id <=> {id_} and source <=> {source} and {size} = {words} and {nth} = {number}"))
+    return joined.select(*[F.col(f"`{n}`") for n in names], F.explode(F.sequence(F.lit(1), copies)).alias(one)).drop(one)

@@ -16,6 +16,7 @@ are packed one by one; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import json
 import unicodedata
 import zlib
 from functools import cache
@@ -48,6 +49,10 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        made = json.loads(self.tokenizer.to_str())
+        steps = json.dumps([made["normalizer"], made["pre_tokenizer"]])
+        if made["model"]["type"] != "BPE" or made["model"].get("end_of_word_suffix") != "</w>" or '"Lowercase"' not in steps or "\\\\s" not in steps:
+            raise ValueError(f"{path}: words are learnt apart, which needs a tokenizer that lower-cases and splits at white space")
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)  # tokens that end a run of letters or signs
         for token, i in self.tokenizer.get_vocab().items():
             self.ends[i] = token.endswith("</w>")

@@ -14,14 +14,16 @@ vector of ``1 << BITS`` numbers.
 
 Defined results: a null text counts as empty and gets the score of a text without
 features; labels that are null or belong to no document are left out; a document labelled
-more than once counts as often; without both labels every score is the share of label 1
-(0.5 without labels).
+more than once counts as often; of rows that share a doc_id, the one with the smallest hash of
+its text teaches; without both labels every score is the share of label 1 (0.5 without labels);
+a score of exactly the threshold is predicted 1; very long texts are read whole; repeated rows
+each give a row; an empty table gives an empty result; extra columns take no part.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepanel.llm.common import arrow_rows
@@ -70,26 +72,27 @@ def features(text: str, bits: int = BITS) -> np.ndarray:
     return np.flatnonzero(seen).astype(np.int32)
 
 
-def log_count_ratio(rows: list[np.ndarray], labels: np.ndarray, bits: int) -> np.ndarray:
+def log_count_ratio(rows: list[bytes], labels: np.ndarray, bits: int) -> np.ndarray:
     p, q = np.ones(1 << bits), np.ones(1 << bits)
     for x, y in zip(rows, labels, strict=True):
-        (p if y else q)[x] += 1
+        (p if y else q)[numbers_of(x)] += 1
     return np.log(p / (1 + labels.sum())) - np.log(q / (1 + (~labels).sum()))
 
 
-def dual_coordinate_descent(rows: list[np.ndarray], scale: np.ndarray, labels: np.ndarray, cost: float = 0.02, rounds: int = 12, seed: int = 1) -> tuple[np.ndarray, float]:
-    """Hinge loss, L2: each step solves one document's dual variable in [0, cost] exactly."""
+def dual_coordinate_descent(rows: list[bytes], scale: np.ndarray, labels: np.ndarray, cost: float = 0.02, rounds: int = 12, seed: int = 1) -> tuple[np.ndarray, float]:
+    """Hinge loss, L2: each step solves one document's dual variable in [0, cost] exactly; the bias is one more feature, 1 for all."""
     weights, bias = np.zeros(len(scale)), 0.0
     alpha, draw = np.zeros(len(rows)), np.random.default_rng(seed)
-    values = [scale[x] for x in rows]
-    norms = np.array([v @ v + 1 for v in values])
+    norms = np.array([(scale[numbers_of(x)] ** 2).sum() + 1 for x in rows])
     for _ in range(rounds):
         for i in draw.permutation(len(rows)):
+            seen = numbers_of(rows[i])
+            values = scale[seen]
             y = 1.0 if labels[i] else -1.0
-            slack = y * (weights[rows[i]] @ values[i] + bias) - 1
+            slack = y * (weights[seen] @ values + bias) - 1
             new = min(max(alpha[i] - slack / norms[i], 0.0), cost)
             if (step := (new - alpha[i]) * y) != 0:
-                weights[rows[i]] += step * values[i]
+                weights[seen] += step * values
                 bias += step
                 alpha[i] = new
     return weights * scale, bias
@@ -123,7 +126,7 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -30, 30))))
 
 
-def train(rows: list[np.ndarray], labels: list[int], bits: int = BITS) -> Model:
+def train(rows: list[bytes], labels: list[int], bits: int = BITS) -> Model:
     y = np.array(labels, bool)
     if y.all() or not y.any():
         share = float(y.mean()) if len(y) else 0.5
@@ -141,7 +144,7 @@ def train(rows: list[np.ndarray], labels: list[int], bits: int = BITS) -> Model:
             own = every
         weights, bias = fit(own)
         for i in every[every % 2 == half]:
-            margins[i] = weights[rows[i]].sum() + bias
+            margins[i] = weights[numbers_of(rows[i])].sum() + bias
     weights, bias = fit(every)
     return Model(weights.astype(np.float32), bias, *fit_logistic(margins, y))
 
@@ -159,18 +162,33 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int = BI
     if not picked:
         return train([], [], bits)
     small = F.broadcast(spark.createDataFrame(sorted({x["id"] for x in picked}), labels.schema["doc_id"].dataType).toDF("id"))
-    texts = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].cast("string").alias("text")).join(small, F.col("doc_id") == F.col("id"), "left_semi")
+    texts = docs.select(docs["doc_id"].alias("doc_id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text")).join(small, F.col("doc_id") == F.col("id")).select("id", "text")
+    # one row teaches for an id: the one with the smallest hash of its text; each partition passes on one row an id
+    texts = texts.withColumn("nth", F.row_number().over(Window.partitionBy("id").orderBy(F.xxhash64("text"), "text"))).where("nth = 1")
 
     def step(cols: dict[str, list]) -> dict[str, list]:
-        return {"id": [str(x) for x in cols["doc_id"]], "seen": [features(t or "", bits).tobytes() for t in cols["text"]]}
+        return {"id": cols["id"], "seen": [held(features(t or "", bits), bits) for t in cols["text"]]}
 
-    found: dict[str, list[np.ndarray]] = {}
-    for name, seen in sorted(arrow_rows(texts, step, "id string, seen binary").collect(), key=lambda r: (r[0], bytes(r[1]))):
-        found.setdefault(name, []).append(np.frombuffer(bytes(seen), np.int32))
-    pairs = [(x, r["y"]) for r in picked for x in found.get(str(r["id"]), [])[:8]]
+    kind = labels.schema["doc_id"].dataType.simpleString()
+    # at most `sample` rows of at most 1 + (1 << bits) / 8 bytes each
+    found = {r[0]: bytes(r[1]) for r in arrow_rows(texts.select("id", "text"), step, f"id {kind}, seen binary").collect()}
+    pairs = [(found[r["id"]], r["y"]) for r in picked if r["id"] in found]
     return train([x for x, _ in pairs], [y for _, y in pairs], bits)
 
 
+def held(numbers: np.ndarray, bits: int) -> bytes:
+    """Feature numbers as four bytes each, or as a bit for every feature where that is less."""
+    if 4 * len(numbers) <= (1 << bits) // 8:
+        return b"\0" + numbers.astype("<i4").tobytes()
+    seen = np.zeros(1 << bits, np.uint8)
+    seen[numbers] = 1
+    return b"\1" + np.packbits(seen).tobytes()
+
+
+def numbers_of(row: bytes) -> np.ndarray:
+    return np.frombuffer(row, "<i4", offset=1) if row[:1] == b"\0" else np.flatnonzero(np.unpackbits(np.frombuffer(row, np.uint8, offset=1)))
+
+
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, keep: bool = False) -> DataFrame:
     """Documents -> ``doc_id, held_out, score, predicted``; with ``keep``, the documents that are predicted good."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # one number per feature
