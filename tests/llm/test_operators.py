@@ -102,27 +102,51 @@ def test_rows_of_one_id_are_told_apart(spark):
 
 @pytest.mark.parametrize("least", [0, 10])
 def test_warc_round_trip(spark, least):
-    tricky = "a\r\n\r\nWARC/1.1\r\nContent-Length: 5\r\n\r\n"
+    tricky = "a\r\n\r\nWARC/1.1\r\nContent-Length: 5\r\n\r\n\0\0"
     rows = [(1, "http://x/", tricky), (2, "http://y/", tricky), (2, "http://y/", tricky), (3, None, None), (4, "u", ""), (5, "u", "short"), (6, "u", "short"), (7, "é", "é" * 9000)]
-    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
-    got = warc.archive(pages, least).collect()
-    assert len(got) == len(rows)
-    texts = {str(i): (h or "").encode() for i, _, h in rows}
-    first = {}
-    for i, _, h in rows:
-        first.setdefault((h or "").encode(), i)
+    rows += [(8, "v", "\0"), (None, "w", "a page without an id"), (None, "w", "another without an id"), (None, "w", "another without an id"), (9, "z\r\nX-Page-ID: 5", "last")]
+    pages = spark.createDataFrame([(*r, "d", 1, "i", "k") for r in rows], "page_id bigint, url string, html string, digest string, n int, id string, key string")
+    got = warc.archive(pages, least, date="2024-01-31T00:00:00Z").collect()
+    assert sorted((r.page_id, bytes(base64.b32decode(r.payload_digest))) for r in got) == sorted((str(i) if i is not None else "null", hashlib.sha1((h or "").encode()).digest()) for i, _, h in rows)
+    texts = {hashlib.sha1((h or "").encode()).digest(): (h or "").encode() for _, _, h in rows}
+    first, by_id = {}, {r.record_id: r for r in got}
+    assert len(by_id) == len(rows) and all(x.startswith("urn:uuid:") and len(x) == 45 for x in by_id)
+    for i, _, h in sorted(rows, key=lambda x: (x[0] is None, x[0] or 0)):
+        first.setdefault((h or "").encode(), str(i) if i is not None else "null")
     for r in got:
-        p = texts[r.record_id]
-        assert r.payload_digest == base64.b32encode(hashlib.sha1(p).digest()).decode() and r.payload_bytes == len(p)
+        p = texts[base64.b32decode(r.payload_digest)]
+        assert r.payload_bytes == len(p) and r.date == "2024-01-31T00:00:00Z"
         if r.record_type == "response":
-            assert bytes(r.payload) == p and r.refers_to is None
+            assert bytes(r.payload) == p and r.refers_to is None and r.refers_to_record is None
         else:
-            assert len(p) >= least and r.refers_to == str(first[p]) and not r.payload
+            assert len(p) >= least and r.refers_to == first[p] and not r.payload
+            original = by_id[r.refers_to_record]
+            assert original.record_type == "response" and original.page_id == r.refers_to and bytes(original.payload) == p
     kinds = [r.record_type for r in got]
-    assert kinds.count("revisit") == (4 if least == 0 else 2)
+    assert kinds.count("revisit") == (5 if least == 0 else 3)
     assert warc.archive(pages.limit(0)).count() == 0
 
 
+def test_archives_hold_a_member_for_each_record(spark, tmp_path):
+    rows = [(i, "http://x/", f"page {i} " * 50) for i in range(40)] + [(100, "http://y/", "".join(chr(97 + i * i % 26) for i in range(100)) * 180_000)]
+    warc.write(spark.createDataFrame(rows, "page_id bigint, url string, html string"), str(tmp_path / "w"))
+    found = 0
+    for file in (tmp_path / "w").glob("part-*"):
+        data = file.read_bytes()
+        while data:  # each member starts a record, but for the later ones of a record above 8 MiB
+            one = zlib.decompressobj(31)
+            text = one.decompress(data)
+            assert one.eof
+            data = one.unused_data
+            found += text.startswith(b"WARC/1.1\r\nWARC-Type: response\r\n")
+            assert text.startswith(b"WARC/1.1\r\n") or len(text) <= warc.MEMBER
+    assert found == len(rows)
+    read = {r.page_id: r for r in warc.read(spark, str(tmp_path / "w")).collect()}
+    assert all(bytes(read[str(i)].payload) == h.encode() for i, _, h in rows)
+    with pytest.raises(ValueError):
+        list(warc.parse(__import__("io").BytesIO(b"no archive")))
+
+
 def test_quality_and_language_on_odd_rows(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")

@@ -19,7 +19,7 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = warc.archive(_table(spark, sf_dir, "pages"), min_bytes=0, payloads=False)
-    return read.selectExpr("cast(nullif(record_id, 'null') as bigint) as page_id", "payload_bytes", "payload_digest", "record_type", "cast(nullif(refers_to, 'null') as bigint) as refers_to")
+    return read.selectExpr("cast(nullif(page_id, 'null') as bigint) as page_id", "payload_bytes", "payload_digest", "record_type", "cast(nullif(refers_to, 'null') as bigint) as refers_to")
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
