@@ -212,6 +212,56 @@ def test_nearest(spark):
     assert ann.nearest(df.where("vec_id < 3")).count() == 2
 
 
+def clusters(n, width, seed, spread=0.35, centers=60):
+    draw = np.random.default_rng(seed)
+    middle = draw.standard_normal((centers, width))
+    return (middle[draw.integers(0, centers, n)] + spread * draw.standard_normal((n, width))).astype(np.float32).astype(float)
+
+
+@pytest.mark.parametrize("flat", (False, True))
+def test_scan_abandons_candidates(flat):
+    """Fewer multiplications than an exhaustive search, and nearly all neighbours, where the lists to probe are fewer than there are."""
+    rows = np.random.default_rng(8).standard_normal((6000, 64)) if flat else clusters(6000, 64, 4)
+    index = ann.Index(rows[::2], 40, float((rows**2).sum(1).max()), 20)
+    lists, ids = index.lists_of(rows, 1, False)[:, 0], np.arange(len(rows))
+    asked = ids[::100]
+    probed, floor = index.lists_of(rows[asked], index.probes, True), index.floor(rows[asked], ann.SPARE * 21)
+    assert flat or index.probes < 20
+    work, found = [], {int(q): [] for q in asked}
+    for one in range(40):
+        who = np.flatnonzero((probed == one).any(1))
+        own = np.flatnonzero(lists == one)
+        if len(who) and len(own):
+            q, v, s = ann.scan(index, rows[asked[who]], floor[who], rows[own], own, min(21, len(own)), work=work)
+            for a, b, c in zip(q, v, s, strict=True):
+                found[int(asked[who[a]])].append((-c, b))
+    hits = 0
+    for q, got in found.items():
+        scores = rows @ rows[q]
+        scores[q] = -np.inf
+        want = set(np.argsort(-scores)[:20].tolist())
+        hits += len(want & {int(v) for _, v in sorted(got)[:21]})
+    assert hits / (20 * len(asked)) >= 0.9
+    assert sum(work) < (0.95 if flat else 0.5) * len(asked) * len(rows) * 65
+
+
+def test_nearest_with_fewer_probes_than_lists(spark):
+    rows = clusters(4000, 32, 9)
+    df = spark.createDataFrame([(i, v.tolist(), 1, "l", 0.5, "p") for i, v in enumerate(rows)], "vec_id bigint, embedding array<float>, list int, part string, score double, q string")
+    hits, got = 0, {}
+    for r in ann.nearest(df, per_list=100).collect():
+        got.setdefault(r.query_id, {})[r.vec_id] = r.score
+    for q in range(0, 4000, 20):
+        s = rows @ rows[q]
+        s[q] = -np.inf
+        want = np.argsort(-s, kind="stable")[:20].tolist()
+        assert len(got[q]) == 20 and all(abs(s[v] - x) < 1e-9 for v, x in got[q].items())
+        hits += len(set(want) & set(got[q]))
+    assert hits / 4000 >= 0.9
+    index = ann.Index(rows, 40, float((rows**2).sum(1).max()), 20)
+    assert index.probes < 20
+
+
 def test_packing(spark):
     from tokenizers import Tokenizer
 

@@ -7,21 +7,25 @@ rotated at random and read in blocks of columns: after d of D coordinates the pa
 distance, scaled by D / d, is an estimate whose error has a known law, so a candidate is
 abandoned when it lies beyond the query's current k-th distance by more than that law
 allows (``EPSILON``). The k-th distance starts from the ``SPARE`` x k-th in the sample, whose
-vectors are rows of the table. A query that finds fewer than k that way searches all lists
-without it. Survivors get the exact inner product of the original vectors in
+vectors are rows of the table, and falls as a list is scanned: each ``CHUNK`` of its vectors is
+tested against the k nearest so far. A query that finds fewer than k that way searches all lists
+without a start. Survivors get the exact inner product of the original vectors in
 double precision.
 
 Centroids are fitted on at most ``SAMPLE`` vectors; every vector is indexed. How many
 lists a query probes is measured on that sample: the smallest share of lists that holds
 ``COVERAGE`` of the true neighbours of ``TRIAL`` of its vectors. Where vectors form
 clusters that is a few lists; where they have no structure no index can skip much.
-A list has about ``PER_LIST`` vectors (up to ``MAX_LISTS`` lists). Long lists are dealt in parts. Of equal vectors only the
-``k + 1`` smallest ids can be among the nearest, so only they are candidates, which is
-exact; equal queries are searched once. So copies make no list, part or query hot.
+A list has about ``PER_LIST`` vectors, as long as the sample has eight for each centroid; beyond
+that lists grow and are dealt in parts of about ``PART`` rows, and a query goes to each part of its
+lists. Of equal vectors only the ``k + 1`` smallest ids can be among the nearest, so only they are
+candidates, which is exact; equal queries are searched once. So copies make no list, part or query hot.
 
 Defined results: vectors that are null, zero, of a length other than the table's most
-common one, or that hold a null or non-finite component take no part; ties go to the
-smaller vec_id; of repeated vec_ids all rows count; with fewer than k candidates all come.
+common one, or that hold a null or non-finite component take no part, nor do rows of null vec_id;
+ties go to the smaller vec_id; of repeated vec_ids all rows count; with fewer than k candidates
+all come; vectors of any length are read whole; an empty table gives an empty result; extra
+columns take no part.
 """
 
 from __future__ import annotations
@@ -37,15 +41,17 @@ from tidepanel.llm.common import arrow_schema, cut
 
 SAMPLE = 20_000
 PER_LIST = 1024
-MAX_LISTS = 16_384
 COVERAGE = 0.97
 TRIAL = 500
 SPARE = 3
 #: Rows of a list that one task scans at once.
-PART = 2048
+PART = 8192
+#: Rows of a part after which the k-th distance is taken anew.
+CHUNK = 512
 #: Columns of a block, and the tolerance of the test that abandons candidates.
 BLOCK = 16
 EPSILON = 2.1
+LISTED = "list int, id bigint, floor double, vec array<double>"
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -99,39 +105,53 @@ class Index:
         return self._nearest(self.rotate(vectors, query), self.centers, min(n, len(self.centers)))
 
 
-def scan(index: Index, queries: np.ndarray, floor: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int, block: int = BLOCK, epsilon: float = EPSILON) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Query number, id and score of the k nearest that survive, for each query."""
+def scan(index: Index, queries: np.ndarray, floor: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int, block: int = BLOCK, epsilon: float = EPSILON, work: list | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query number, id and score of the k nearest that survive, for each query; ``work`` is told the numbers of multiplied coordinates.
+
+    The first block of columns is multiplied for all; then each query goes on with its own
+    candidates, block by block, and leaves those whose partial distance lies beyond its limit.
+    """
     a, b = index.rotate(queries, True), index.rotate(vectors)
-    width, first = a.shape[1], min(len(b), max(64, 2 * k))
-
-    def far(some: np.ndarray, cols: slice) -> np.ndarray:
-        return (a[:, cols] ** 2).sum(1)[:, None] + (some[:, cols] ** 2).sum(1)[None] - 2 * a[:, cols] @ some[:, cols].T
-
-    q, v = (x.ravel() for x in np.meshgrid(np.arange(len(a)), np.arange(first), indexing="ij"))
-    if len(b) > first:
-        # the current k-th distance, squared
-        limit = np.minimum(np.partition(far(b[:first], slice(None)), k - 1, 1)[:, k - 1], (a**2).sum(1) + index.top - 2 * floor)
-        alive_q, alive_v, partial = None, None, np.zeros((len(a), len(b) - first))
-        for start in range(0, width, block):
-            cols = slice(start, min(start + block, width))
-            d = cols.stop
-            slack = ((1 + epsilon / np.sqrt(d)) ** 2 if d < width else 1 + 1e-9) * d / width
-            if alive_q is None:
-                partial += far(b[first:], cols)
-                keep = partial <= limit[:, None] * slack
-                if keep.mean() < 0.3:
-                    alive_q, alive_v = np.nonzero(keep)
-                    partial = partial[alive_q, alive_v]
-            else:
-                partial = partial + ((a[alive_q, cols] - b[first + alive_v, cols]) ** 2).sum(1)
-                keep = partial <= limit[alive_q] * slack
-                alive_q, alive_v, partial = alive_q[keep], alive_v[keep], partial[keep]
-        if alive_q is None:
-            alive_q, alive_v = np.nonzero(keep)
-        q, v = np.r_[q, alive_q], np.r_[v, first + alive_v]
+    width, done = a.shape[1], 0
+    edges = [*range(0, width, block), width]
+    cuts = [slice(x, y) for x, y in zip(edges, edges[1:], strict=False)]
+    slack = [((1 + epsilon / np.sqrt(c.stop)) ** 2 if c.stop < width else 1 + 1e-9) * c.stop / width for c in cuts]
+    columns = [np.ascontiguousarray(b[:, c]) for c in cuts]
+    norms, own = [(x**2).sum(1) for x in columns], [(a[:, c] ** 2).sum(1) for c in cuts]
+    # largest distance, squared, that can still count
+    limit = (a**2).sum(1) + index.top - 2 * floor
+    names, found, scores = [], [], []
+    near = np.full((len(a), k), np.inf)
+    for at in range(0, len(b), CHUNK):
+        rows = slice(at, min(at + CHUNK, len(b)))
+        head = own[0][:, None] + norms[0][rows][None] - 2 * a[:, cuts[0]] @ columns[0][rows].T
+        done += head.size * (cuts[0].stop - cuts[0].start)
+        keep = head <= limit[:, None] * slack[0]
+        for q in np.flatnonzero(keep.any(1)):
+            alive = np.flatnonzero(keep[q])
+            far = head[q, alive]
+            alive += at
+            for c, x, n, o, more in zip(cuts[1:], columns[1:], norms[1:], own[1:], slack[1:], strict=True):
+                far = far + (n[alive] + o[q] - 2 * (x[alive] @ a[q, c]))
+                done += len(alive) * (c.stop - c.start)
+                stay = far <= limit[q] * more
+                alive, far = alive[stay], far[stay]
+                if not len(alive):
+                    break
+            if len(alive):
+                names.append(np.full(len(alive), q))
+                found.append(alive)
+                far = np.r_[near[q], far]
+                near[q] = np.partition(far, k - 1)[:k]
+                limit[q] = min(limit[q], near[q].max() + 1e-9 * index.top)
+    if work is not None:
+        work.append(done)
+    if not names:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    q, v = np.concatenate(names), np.concatenate(found)
     score = np.einsum("ij,ij->i", queries[q], vectors[v])
-    near = score >= floor[q]
-    q, v, score = q[near], v[near], score[near]
+    enough = score >= floor[q]
+    q, v, score = q[enough], v[enough], score[enough]
     order = np.lexsort((ids[v], -score, q))
     q, v, score = q[order], v[order], score[order]
     rank = np.arange(len(q)) - np.searchsorted(q, q)
@@ -156,7 +176,7 @@ def nearest(embeddings: DataFrame, every: int = 20, k: int = 20, coverage: float
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     few = np.array([r[0] for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("vec").collect()])  # at most `sample` rows
     width = few.shape[1]
-    lists = int(max(1, min(MAX_LISTS, len(few) // 8 + 1, -(-n // per_list))))
+    lists = int(max(1, min(len(few) // 8 + 1, -(-n // per_list))))
     index = spark.sparkContext.broadcast(Index(few, lists, top, k, coverage))  # bounded by the sample
     # of equal vectors, only the k + 1 smallest ids; first within salts, so many copies don't meet in one task
     salt = F.pmod(F.xxhash64("vec_id"), F.lit(64))
@@ -166,19 +186,23 @@ def nearest(embeddings: DataFrame, every: int = 20, k: int = 20, coverage: float
     asked = rows.where(F.col("vec_id") % every == 0)
     one_each = asked.groupBy("vec").agg(F.min("vec_id").alias("qrep"))
 
-    def assign(probes: int, query: bool):
-        target = arrow_schema("list int, id bigint, vec array<double>")
+    def assign(probes: int, query: bool, bounded: bool = False):
+        target = arrow_schema(LISTED)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                if batch.num_rows:
-                    found = index.value.lists_of(_matrix(batch.column(1), width), probes, query)
-                    take = pa.array(np.repeat(np.arange(batch.num_rows), found.shape[1]))
-                    yield pa.RecordBatch.from_arrays([pa.array(found.ravel(), pa.int32()), batch.column(0).take(take), batch.column(1).take(take)], schema=target)
+                for at in range(0, batch.num_rows, 512):
+                    part = batch.slice(at, 512)
+                    own = _matrix(part.column(1), width)
+                    found = index.value.lists_of(own, probes, query)
+                    # once for each query, however many lists it probes
+                    floor = index.value.floor(own, SPARE * (k + 1)) if bounded else np.full(len(own), -np.inf)
+                    take = np.repeat(np.arange(part.num_rows), found.shape[1])
+                    yield pa.RecordBatch.from_arrays([pa.array(found.ravel(), pa.int32()), part.column(0).take(pa.array(take)), pa.array(floor[take]), part.column(1).take(pa.array(take))], schema=target)
 
         return run
 
-    vectors = cut(some.select("vec_id", "vec").mapInArrow(assign(1, False), "list int, id bigint, vec array<double>"), "lists")
+    vectors = cut(some.select("vec_id", "vec").mapInArrow(assign(1, False), LISTED).drop("floor"), "lists")
     sizes = vectors.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
     parts = cut(sizes, "parts").withColumnRenamed("list", "l")  # a row per list: Spark broadcasts it while small
     dealt = vectors.join(parts, F.col("list") == F.col("l")).select("list", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), "id", "vec")
@@ -188,18 +212,16 @@ def nearest(embeddings: DataFrame, every: int = 20, k: int = 20, coverage: float
             out = [], [], []
             if left.num_rows and right.num_rows:
                 vecs, ids, names = _matrix(left.column("vec"), width), left.column("id").to_numpy(), right.column("id").to_numpy()
-                asks = _matrix(right.column("vec"), width)
+                asks, floor = _matrix(right.column("vec"), width), right.column("floor").to_numpy()
                 for at in range(0, len(asks), 1024):
-                    part = asks[at : at + 1024]
-                    floor = index.value.floor(part, SPARE * (k + 1)) if bounded else np.full(len(part), -np.inf)
-                    q, i, s = scan(index.value, part, floor, vecs, ids, min(k + 1, len(ids)))
+                    q, i, s = scan(index.value, asks[at : at + 1024], floor[at : at + 1024], vecs, ids, min(k + 1, len(ids)))
                     for held, x in zip(out, (names[at + q], i, s), strict=True):
                         held.append(x)
             cols = [np.concatenate(x) if x else np.zeros(0, kind) for x, kind in zip(out, (np.int64, np.int64, np.float64), strict=True)]
             return pa.table(dict(zip(("qrep", "vec_id", "score"), map(pa.array, cols), strict=True)))
 
-        asking = queries.select("qrep", "vec").mapInArrow(assign(probes, True), "list int, id bigint, vec array<double>")
-        asking = asking.join(parts, F.col("list") == F.col("l")).select("list", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "id", "vec")
+        asking = queries.select("qrep", "vec").mapInArrow(assign(probes, True, bounded), LISTED)
+        asking = asking.join(parts, F.col("list") == F.col("l")).select("list", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "id", "floor", "vec")
         found = dealt.groupBy("list", "part").cogroup(asking.groupBy("list", "part")).applyInArrow(search, "qrep bigint, vec_id bigint, score double")
         best = Window.partitionBy("qrep").orderBy(F.desc("score"), "vec_id")
         return cut(found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).drop("r"), "hits")
