@@ -50,13 +50,11 @@ def interpolate_quantiles(levels: list[float], values: Column, wanted: list[floa
     return [ordered[i] for i in range(len(out))]
 
 
-def translate_expression(text: str) -> str:
-    """The common data-frame expression syntax as SQL: ==, &, bar, ~ and a few methods."""
-    text = re.sub(r"==", "=", text)
-    text = re.sub(r"([\w.]+)\s*!=\s*([\w.']+)", r"(NOT (\1 <=> \2))", text)
-    text = re.sub(r"(\w+)\.clip\(\s*([^,()]+)\s*,\s*([^()]+)\)", r"least(greatest(\1, \2), \3)", text)
-    text = re.sub(r"(\w+)\.clip\(\s*([^,()]+)\s*\)", r"greatest(\1, \2)", text)
-    text = re.sub(r"(\w+)\.abs\(\)", r"abs(\1)", text)
-    text = re.sub(r"(\w+)\.fillna\(\s*([^()]+)\)", r"coalesce(\1, \2)", text)
-    text = re.sub(r"(\w+)\.isin\(\[([^\]]*)\]\)", r"(\1 in (\2))", text)
-    return re.sub(r"~\s*", "NOT ", re.sub(r"\s*\|\s*", " OR ", re.sub(r"\s*&\s*", " AND ", text)))
+def shard_of(shards: int, *cols: Column) -> Column:
+    """Shard of a row by its columns as text: the same in every run and on every cluster."""
+    return F.pmod(F.xxhash64(*[F.coalesce(c.cast("string"), F.lit("")) for c in cols]), F.lit(shards)).cast("int")
+
+
+def content_hash(*cols: str) -> Column:
+    """Aggregate: a fingerprint of rows in any order, repeats included."""
+    return F.concat_ws("-", F.count(F.lit(1)), F.sum(F.xxhash64(*cols).cast("decimal(38,0)")))

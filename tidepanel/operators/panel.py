@@ -12,27 +12,35 @@ ADI_LIMIT, CV2_LIMIT = 1.32, 0.49
 
 
 def daily_grid(sales: DataFrame, spec: PanelSpec, end: str | None = None) -> DataFrame:
-    """A row per series and day from its first row on; fill rules hold for absent rows only, but ffill fills nulls too."""
-    bounds = sales.groupBy("series_id").agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
+    """A row per series and day from its first row on; fill rules hold for absent rows only, but ffill fills nulls too.
+
+    Each row is spread over the days up to the next one of its series, so no calendar is joined:
+    one exchange by series, which later windows by series use again.
+    """
+    by = Window.partitionBy("series_id").orderBy("ts")
+    rows = sales.withColumn("next_ts", F.lead("ts").over(by))
+    before = by.rowsBetween(Window.unboundedPreceding, 0)
+    kinds = dict(rows.dtypes)
+    filled = {n: F.last(n, True).over(before) for n, rule in spec.covariates.items() if rule == "ffill"}
+    rows = rows.withColumns(filled) if filled else rows
     if spec.grid_end == "global":
-        last = sales.agg(F.max("ts").alias("last"))  # one row
+        last = sales.agg(F.max("ts").alias("last_ts"))  # one row
         if end:
-            last = last.select(F.greatest("last", F.lit(end).cast("date")).alias("last"))
-        bounds = bounds.join(F.broadcast(last)).select("series_id", "lo", F.col("last").alias("hi"))
-    days = bounds.select("series_id", F.explode(F.sequence("lo", "hi")).alias("ts"))
-    rows = days.join(sales.withColumn("present", F.lit(True)), ["series_id", "ts"], "left")
-    absent = F.col("present").isNull()
-    before = Window.partitionBy("series_id").orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
-    cols = [F.when(absent & F.lit(spec.missing_target == "zero"), 0.0).otherwise(F.col("y")).alias("y"), F.coalesce("stockout", F.lit(False)).alias("stockout")]
-    kinds = dict(rows.dtypes)
+            last = last.select(F.greatest("last_ts", F.lit(end).cast("date")).alias("last_ts"))
+        rows = rows.join(F.broadcast(last))
+    else:
+        rows = rows.withColumn("last_ts", F.col("ts"))
+    spread = rows.withColumn("day", F.explode(F.sequence("ts", F.coalesce(F.date_sub("next_ts", 1), F.greatest("ts", "last_ts")))))
+    absent = F.col("day") != F.col("ts")
+    cols = [F.when(absent, F.lit(0.0 if spec.missing_target == "zero" else None).cast("double")).otherwise(F.col("y")).alias("y"), (~absent & F.coalesce("stockout", F.lit(False))).alias("stockout")]
     for name, rule in spec.covariates.items():
-        value = F.last(name, True).over(before) if rule == "ffill" else F.col(name)
+        value = F.col(name) if rule == "ffill" else F.when(~absent, F.col(name))
         if kinds[name] == "string":
             value = F.coalesce(value, F.lit(""))
         elif rule == "zero":
-            value = F.when(absent, 0.0).otherwise(value)
+            value = F.when(absent, F.lit(0).cast(kinds[name])).otherwise(F.col(name))
         cols.append(value.alias(name))
-    return rows.select("series_id", "ts", *cols)
+    return spread.select("series_id", F.col("day").alias("ts"), *cols)
 
 
 def add_statics(panel: DataFrame, statics: DataFrame) -> DataFrame:
@@ -59,15 +67,24 @@ def in_stock(y: Column | None = None) -> Column:
     return F.when(~F.col("stockout"), F.col("y") if y is None else y)
 
 
-def demand_classes(panel: DataFrame, until: str | None = None) -> DataFrame:
-    """Syntetos-Boylan class by the interval between sales and the variation of their sizes."""
-    rows = panel.where(F.col("ts") <= F.lit(until).cast("date")) if until else panel
-    y = in_stock()
-    hit = F.when(y > 0, y)
-    stats = rows.groupBy("series_id").agg(F.count(y).alias("n"), F.count(hit).alias("n_nz"), F.avg(hit).alias("mean_nz"), F.stddev_pop(hit).alias("std_nz"))
+def demand_classes(panel: DataFrame, until: str | None = None, labels: DataFrame | None = None) -> DataFrame:
+    """Syntetos-Boylan class by the interval between sales and the variation of their sizes.
+
+    The interval counts days in stock, with or without a known target. Series without a day up to
+    ``until`` are ``no_history``. ``labels`` (``series_id, label``) go before the figures; an empty one is ``unlabeled``.
+    """
+    seen = F.lit(True) if until is None else F.col("ts") <= F.lit(until).cast("date")
+    stock = seen & ~F.col("stockout")
+    hit = F.when(stock & (F.col("y") > 0), F.col("y"))
+    stats = panel.groupBy("series_id").agg(F.count(F.when(seen, 1)).alias("days"), F.count(F.when(stock, 1)).alias("n"), F.count(hit).alias("n_nz"), F.avg(hit).alias("mean_nz"), F.stddev_pop(hit).alias("std_nz"))
     adi, cv2 = F.expr("try_divide(n, n_nz)"), F.expr("pow(try_divide(std_nz, mean_nz), 2)")
     smooth, steady = adi < ADI_LIMIT, cv2 < CV2_LIMIT
     named = F.when(F.col("n_nz") == 0, "no_demand").when(smooth & steady, "smooth").when(smooth, "erratic").when(steady, "intermittent").otherwise("lumpy")
+    if labels is not None:
+        stats = stats.join(labels.select("series_id", "label"), "series_id", "left")
+        label = F.coalesce(F.col("label").cast("string"), F.lit(""))
+        named = F.when(label == "", "unlabeled").otherwise(label)
+    named = F.when(F.col("days") == 0, "no_history").otherwise(named)
     return stats.select("series_id", "n", "n_nz", F.round(adi, 6).alias("adi"), F.round(cv2, 6).alias("cv2"), named.alias("demand_class"))
 
 

@@ -8,16 +8,19 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepanel.functions.columns import bucket, interpolate_quantiles, split_ids
-from tidepanel.operators import coldstart, forecast, panel, sampling, score
+from tidepanel.functions.columns import interpolate_quantiles, split_ids
+from tidepanel.operators import coldstart, forecast, models, panel, sampling, score, training
 from tidepanel.operators.prepare import PanelSpec, deduplicate, prepare, repeated_keys, sales
 from tidepanel.plans import folds, future
+from tidepanel.plans.backtest import Task, backtest
+from tidepanel.sources.store import keep
 
 H, M = 14, 7
 FIRST, LAST = date(1995, 1, 2), date(2001, 11, 4)
 CUTS = folds.cutoffs(FIRST, LAST, H, folds=2, step=14, holdouts=1, min_train=60)
 ORIGINS = folds.origins(CUTS["validation"], H, CUTS["holdout"][0], step=7)
 CUT = str(CUTS["validation"][-1])
+DAYS = [o for _, _, o in ORIGINS]
 COLD = "1995-04-30"
 
 _ROLES = {
@@ -58,27 +61,26 @@ def _r(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: F.round(n, 6) for n in names})
 
 
-def _predictions(s: SparkSession, d: str) -> DataFrame:
-    grid, o = _grid(s, d), _origins(s)
-    pred = forecast.seasonal_naive(forecast.state_at(grid, o.select("origin"), M), H, M)
-    pred = pred.join(F.broadcast(o), "origin")
-    truth = grid.select("series_id", "ts", F.col("y").alias("y_true"), "stockout")
-    scale = None
-    for fold, cut in sorted({(f, c) for f, c, _ in ORIGINS}):
-        one = panel.mase_scale(grid, str(cut), M).withColumn("fold", F.lit(fold))
-        scale = one if scale is None else scale.unionByName(one)
-    out = pred.join(truth, ["series_id", "ts"], "left").join(scale, ["series_id", "fold"], "left")
-    return out.select("fold", "cutoff", "origin", "series_id", "ts", "horizon", "y_pred", "y_true", "stockout", "mase_scale", bucket(F.col("horizon"), [7, 14]).alias("bucket"), F.datediff("origin", "cutoff").alias("model_age_days"))
+TASK = Task(horizon=H, season=M, buckets=(7, 14), min_history=0, method="none")
 
 
-def _scores(s: SparkSession, d: str, keys: list[str], extra: DataFrame | None = None) -> DataFrame:
-    p = _predictions(s, d)
+def _panel(s: SparkSession, d: str, spec: PanelSpec = SUPPLIER) -> DataFrame:
+    """The grid, built once and written for the passes that read it."""
+    return keep(_grid(s, d, spec).select("series_id", "ts", "y", "stockout"), "panel")
+
+
+def _predictions(s: SparkSession, d: str, grid: DataFrame | None = None) -> DataFrame:
+    grid = _panel(s, d) if grid is None else grid
+    out = backtest(grid, ORIGINS, TASK, models.create("seasonal_naive", H, M))
+    return out.where("lifecycle = 'established'").select("fold", "cutoff", "origin", "series_id", "ts", "horizon", "y_pred", "y_true", "stockout", "mase_scale", "bucket", "model_age_days")
+
+
+def _scores(s: SparkSession, d: str, keys: list[str], extra=None) -> DataFrame:
+    grid = _panel(s, d)
+    p = _predictions(s, d, grid)
     if extra is not None:
-        p = p.join(extra, "series_id")
-    sums = score.finalize(score.partial(p, keys), keys)
-    errors = score.mase(p, keys, ["fold", "origin", "series_id"])
-    out = sums.join(errors, keys, "left") if keys else sums.join(F.broadcast(errors))
-    return _r(out, "mase")
+        p = p.join(extra(grid), "series_id")
+    return score.score(p, keys)
 
 
 def _plans(s: SparkSession, d: str) -> DataFrame:
@@ -91,25 +93,30 @@ def _frame(s: SparkSession, d: str) -> DataFrame:
     return future.horizon_frame(panel.first_dates(_sales(s, d)), _origins(s).select("origin"), H)
 
 
+KEYS = ("p_brand", "p_type")
+
+
 def _cold(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    rows = _sales(s, d, PART)
+    rows = keep(_sales(s, d, PART).select("series_id", "ts", "y", "stockout"), "sales")
     firsts = panel.first_dates(rows)
-    return firsts, coldstart.launch_profiles(rows, firsts, _parts(s, d), COLD, ("p_brand", "p_type"), 60, 5)
+    return firsts, coldstart.launch_profiles(rows, firsts, _parts(s, d), [COLD], KEYS, 60, 5)
 
 
 def _cold_start(s: SparkSession, d: str) -> DataFrame:
     firsts, profiles = _cold(s, d)
     late = firsts.where(F.col("first_ts") > F.lit(COLD).cast("date")).join(_parts(s, d), "series_id")
-    targets = late.select("series_id", F.col("p_brand").alias("key1"), F.col("p_type").alias("key2"), F.explode(F.sequence(F.lit(0), F.lit(9))).alias("age"))
-    return _r(coldstart.lookup(targets, profiles), "y_pred").select("series_id", "age", "y_pred")
+    targets = late.select(F.lit(COLD).cast("date").alias("origin"), "series_id", *KEYS, F.explode(F.sequence(F.lit(0), F.lit(9))).alias("age"))
+    return _r(coldstart.lookup(targets, keep(profiles, "profiles"), KEYS), "mean").select("series_id", "age", F.col("mean").alias("y_pred"))
 
 
 def _cold_short(s: SparkSession, d: str) -> DataFrame:
-    rows, parts = _sales(s, d, PART), _parts(s, d)
+    rows, parts = keep(_sales(s, d, PART).select("series_id", "ts", "y", "stockout"), "sales"), _parts(s, d)
     short = panel.history_split(rows, COLD, 28, H).where("lifecycle = 'short_history'")
-    profiles = coldstart.launch_profiles(rows, panel.first_dates(rows), parts, COLD, ("p_brand", "p_type"), 28 + H, 5, exclude=short)
-    keyed = short.join(parts, "series_id").select("series_id", F.col("p_brand").alias("key1"), F.col("p_type").alias("key2"), "hist_age", "hist_sum")
-    return _r(coldstart.scale_short(keyed, profiles, H), "scale", "y_pred")
+    profiles = keep(coldstart.launch_profiles(rows, panel.first_dates(rows), parts, [COLD], KEYS, 28 + H, 5, min_history=28), "profiles")
+    o = F.lit(COLD).cast("date").alias("origin")
+    cold = keep(short.join(parts, "series_id").select(o, "series_id", F.col("first_ts").alias("launch"), "hist_age", "hist_sum", *KEYS), "short")
+    out = coldstart.cold_forecast(cold, profiles, KEYS, H).join(coldstart.scales(cold, profiles, KEYS), ["origin", "series_id"])
+    return _r(out.select("series_id", "horizon", "scale", "y_pred"), "scale", "y_pred")
 
 
 def _sampled(s: SparkSession, d: str) -> DataFrame:
@@ -119,6 +126,32 @@ def _sampled(s: SparkSession, d: str) -> DataFrame:
     return sampling.draw(classes, "demand_class", quotas, 7).select("series_id", "demand_class")
 
 
+def _strata(s: SparkSession, d: str) -> DataFrame:
+    """Label x volume bin, allocated, drawn and weighted."""
+    rows = _sales(s, d, PART).join(_parts(s, d), "series_id")
+    stats = sampling.series_stats(rows, until=COLD, label="p_brand")
+    return _r(sampling.stratified_sample(keep(stats, "stats"), 500, 4, 3, 11).select("series_id", "stratum", "weight"), "weight")
+
+
+def _profile(s: SparkSession, d: str) -> DataFrame:
+    return training.series_profile(_panel(s, d, PART), CUT, 365)
+
+
+MIX = {"max_share": {"intermittent": 0.3}, "min_nonzero_days": 2, "seed": 3}
+
+
+def _selected(s: SparkSession, d: str) -> DataFrame:
+    return training.select_series(keep(_profile(s, d), "profile"), H, MIX)[0]
+
+
+def _lifecycles(s: SparkSession, d: str) -> DataFrame:
+    """A backtest of sparse series with cold starts and owed rows."""
+    grid = _panel(s, d, PART)
+    task = Task(horizon=10, season=M, buckets=(10,), min_history=20, method="zero")
+    out = backtest(grid, [(0, date(1995, 3, 1), date(1995, 3, 1)), (0, date(1995, 3, 1), date(1995, 3, 15))], task, models.create("naive", 10, M))
+    return out.groupBy("origin", "lifecycle").agg(F.count_distinct("series_id").alias("n_series"), F.count(F.lit(1)).alias("n_rows"), F.count("y_pred").alias("n_pred"), F.round(F.sum("y_pred"), 6).alias("pred"), F.round(F.sum("y_true"), 6).alias("true"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     o = lambda s: _origins(s).select("origin")
     y = lambda df: df.select("series_id", "ts", F.round("y", 6).alias("y"))
@@ -142,11 +175,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "history_split": lambda s, d: panel.history_split(_sales(s, d, PART), COLD, 28, 30),
         "mase_scale": lambda s, d: _r(panel.mase_scale(_grid(s, d), CUT, M), "mase_scale"),
         "audit_summary": lambda s, d: panel.audit(_grid(s, d)),
-        "naive": lambda s, d: forecast.naive(forecast.state_at(_grid(s, d), o(s), M), H).select("series_id", "origin", "horizon", "ts", "y_pred"),
-        "seasonal_naive": lambda s, d: _r(forecast.seasonal_naive(forecast.state_at(_grid(s, d), o(s), M), H, M), "y_pred").select("series_id", "origin", "horizon", "ts", "y_pred"),
+        "naive": lambda s, d: forecast.naive(forecast.origin_states(_grid(s, d), DAYS, M), H).select("series_id", "origin", "horizon", "ts", "y_pred"),
+        "seasonal_naive": lambda s, d: _r(forecast.seasonal_naive(forecast.origin_states(_grid(s, d), DAYS, M), H, M), "y_pred").select("series_id", "origin", "horizon", "ts", "y_pred"),
         "croston_sba": lambda s, d: _r(forecast.croston(_grid(s, d), CUT), "rate"),
         "future_actual": lambda s, d: _r(future.with_actuals(_frame(s, d), _grid(s, d), ["price"]), "price").select("series_id", "origin", "horizon", "ts", "price"),
-        "future_carry_forward": lambda s, d: _r(future.with_carried(_frame(s, d), _sales(s, d), o(s), ["price"]), "price").select("series_id", "origin", "horizon", "ts", "price"),
+        "future_carry_forward": lambda s, d: _r(future.with_carried(_frame(s, d), _sales(s, d), DAYS, ["price"]), "price").select("series_id", "origin", "horizon", "ts", "price"),
         "future_plan": lambda s, d: future.with_plans(_frame(s, d), _plans(s, d), o(s), ["plan_discount"]).select("series_id", "origin", "horizon", "ts", "plan_discount"),
         "plan_asof": lambda s, d: future.snapshot_as_of(_plans(s, d), o(s)),
         "plan_coverage": lambda s, d: future.coverage(future.with_plans(_frame(s, d), _plans(s, d), o(s), ["plan_discount"]), "plan_discount"),
@@ -159,14 +192,24 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "score_by_bucket": lambda s, d: _scores(s, d, ["bucket"]),
         "score_bucket_x_fold": lambda s, d: _scores(s, d, ["bucket", "fold"]),
         "score_model_age": lambda s, d: _scores(s, d, ["model_age_days"]),
-        "score_by_class": lambda s, d: _scores(s, d, ["demand_class"], panel.demand_classes(_grid(s, d), str(CUTS["validation"][0])).select("series_id", "demand_class")),
-        "score_slice": lambda s, d: _scores(s, d, ["category"], _statics(s, d).select("series_id", "category")),
-        "partials_combine": lambda s, d: score.finalize(score.combine(score.partial(_predictions(s, d), ["fold", "bucket"]), ["bucket"]), ["bucket"]),
-        "quantile_metrics": lambda s, d: score.quantile_scores(_predictions(s, d).withColumns({"q10": F.col("y_pred") * 0.5, "q90": F.col("y_pred") * 1.5}), ["bucket"], {"q10": 0.1, "q90": 0.9}),
+        "score_by_class": lambda s, d: _scores(s, d, ["demand_class"], lambda grid: panel.demand_classes(grid, str(CUTS["validation"][0])).select("series_id", "demand_class")),
+        "score_slice": lambda s, d: _scores(s, d, ["category"], lambda _: _statics(s, d).select("series_id", "category")),
+        "score_tables": lambda s, d: score.finalize(score.partial(_predictions(s, d), {"overall": [], "fold": ["fold"], "bucket": ["bucket"], "bucket_x_fold": ["bucket", "fold"]}), ["table", "bucket", "fold"]),
+        "partials_combine": lambda s, d: score.finalize(score.combine(score.partial(_predictions(s, d), {"t": ["fold", "bucket"]}), ["bucket"]), ["bucket"]),
+        "quantile_metrics": lambda s, d: score.score(_predictions(s, d).withColumns({"q10": F.col("y_pred") * 0.5, "q90": F.col("y_pred") * 1.5}), ["bucket"], {"q10": 0.1, "q90": 0.9}).select("bucket", "wql", "cov_0_1", "cov_0_9"),
         "quantile_interp": lambda s, d: _t(s, d, "orders").select("o_orderkey", *[F.round(c, 6).alias(n) for c, n in zip(interpolate_quantiles([0.1, 0.5, 0.9], F.array(F.col("o_totalprice") * 0.5, F.col("o_totalprice"), F.col("o_totalprice") * 2), [0.05, 0.3, 0.95]), ("a", "b", "c"), strict=True)]),
         "series_stats": lambda s, d: _r(sampling.series_stats(_sales(s, d, PART), str(LAST)), "per_day"),
         "volume_bins": lambda s, d: sampling.volume_bins(sampling.series_stats(_sales(s, d, PART), str(LAST)), 4).select("series_id", "bin"),
         "stratified_sample": _sampled,
+        "strata_sample": _strata,
+        "train_profile": _profile,
+        "train_select": _selected,
+        "backtest_lifecycles": _lifecycles,
+        "fold_origins": lambda s, d: s.createDataFrame(folds.origins(folds.FoldRule(H, folds=3, step=10, holdouts=1, min_train=60).validation(FIRST, LAST), H, folds.FoldRule(H, folds=3, step=10, holdouts=1).limit(FIRST, LAST), 5), "fold int, cutoff date, origin date"),
+        "stockout_col": lambda s, d: raw(s, d, PanelSpec(ids=("l_suppkey",), **(_ROLES | {"stockout_expr": None, "in_stock_col": "flag", "derived": {**_ROLES["derived"], "flag": "0 if l_returnflag == 'R' else 1"}}))).groupBy("series_id").agg(F.sum(F.col("stockout").cast("bigint")).alias("n_out")),
+        "dedupe_first": lambda s, d: y(_sales(s, d, variant(duplicates="first"))),
+        "static_first_row": lambda s, d: panel.static_first_row(prepare(_t(s, d, "lineitem"), variant(extra=("l_returnflag", "l_linestatus"))), ["l_returnflag", "l_linestatus"]),
+        "literals_in_filter": lambda s, d: raw(s, d, variant(row_filter="l_returnflag != 'A|R & ~N' & l_linestatus.isin(['O', 'x|y']) & ~(l_quantity.clip(5, 40) / 0 > 1)")).groupBy("series_id").agg(F.count(F.lit(1)).alias("n")),
         "split_ids": lambda s, d: raw(s, d, PanelSpec(ids=("l_suppkey", "l_returnflag"), **_ROLES)).groupBy("series_id").agg(F.count(F.lit(1)).alias("n")).select(*[c.alias(n) for c, n in zip(split_ids(F.col("series_id"), 2), ("supp", "flag"), strict=True)], "n"),
         "daily_rollup": lambda s, d: _r(_rollup(s, d), "y"),
     }
@@ -174,7 +217,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def _profile_rows(p: DataFrame) -> DataFrame:
     names = {"q_0.1": "q10", "q_0.5": "q50", "q_0.9": "q90"}
-    return _r(p.withColumnsRenamed(names), "mean", *names.values())
+    return _r(p.withColumnsRenamed({**names, "p_brand": "key1", "p_type": "key2"}).drop("origin"), "mean", *names.values())
 
 
 def _rollup(s: SparkSession, d: str) -> DataFrame:
@@ -213,7 +256,7 @@ scale as (select series_id, fold, avg(d) mase_scale from diffs join (select dist
 bt as (select p.fold, p.cutoff, p.origin, p.series_id, p.ts, p.horizon, p.y_pred, g.y y_true, g.stockout, mase_scale,
   case when p.horizon <= 7 then 'h01-7' else 'h08-14' end as bucket, (p.origin - p.cutoff)::int model_age_days
   from pred p left join grid g using (series_id, ts) left join scale using (series_id, fold)),
-classes as (select series_id, count(v) n, count(v) filter (v > 0) n_nz, count(v) / nullif(count(v) filter (v > 0), 0) adi,
+classes as (select series_id, count(*) filter (not stockout) n, count(v) filter (v > 0) n_nz, count(*) filter (not stockout) / nullif(count(v) filter (v > 0), 0) adi,
   pow(stddev_pop(v) filter (v > 0) / nullif(avg(v) filter (v > 0), 0), 2) cv2 from grid where true /*until*/ group by 1),
 named as (select *, case when n_nz = 0 then 'no_demand' when adi < {panel.ADI_LIMIT} and cv2 < {panel.CV2_LIMIT} then 'smooth' when adi < {panel.ADI_LIMIT} then 'erratic'
   when cv2 < {panel.CV2_LIMIT} then 'intermittent' else 'lumpy' end demand_class from classes),
@@ -311,7 +354,33 @@ def oracle_sql() -> dict[str, str]:
         "score_model_age": _score_sql(["model_age_days"]),
         "score_by_class": _score_sql(["demand_class"], "join named using (series_id)", str(CUTS["validation"][0])),
         "score_slice": _score_sql(["category"], "join statics using (series_id)"),
-        "partials_combine": _with("select bucket, round(sum(abs(y_pred - y_true)) / nullif(sum(y_true), 0), 6) wape, round(sum(y_pred - y_true) / nullif(sum(y_true), 0), 6) bias, count(y_pred) n, (count(*) - count(y_pred)) n_missing from bt where y_true is not null and not coalesce(stockout, false) group by 1"),
+        "partials_combine": _score_sql(["bucket"]),
+        "score_tables": " union all by name ".join(f"(select '{name}' as \"table\", * from ({_score_sql(keys)}))" for name, keys in (("bucket_x_fold", ["bucket", "fold"]), ("overall", []), ("fold", ["fold"]), ("bucket", ["bucket"]))),
+        "strata_sample": _with(f""", stats as (select s.series_id, p_brand label, sum(case when ts <= date '{COLD}' then y else 0 end) / greatest(date '{COLD}' - min(ts) + 1, 1) p from sales s join (select cast(p_partkey as varchar) series_id, p_brand from part) using (series_id) group by 1, 2),
+          binned as (select series_id, label || '|v' || ((r > 1 + (n - 1) * 0.25)::int + (r > 1 + (n - 1) * 0.5)::int + (r > 1 + (n - 1) * 0.75)::int) stratum from
+            (select series_id, label, row_number() over (order by p, series_id) r, count(*) over () n from stats)),
+          sizes as (select stratum, count(*) size, least(count(*), 3) base from binned group by 1),
+          shares as (select *, (size - base) * (500 - (select sum(base) from sizes)) w, (select sum(size - base) from sizes) room from sizes),
+          quotas as (select stratum, size, base + w // room + (row_number() over (order by w % room desc, stratum) <= (select 500 - sum(base + w // room) from shares))::int quota from shares)
+          select series_id, stratum, round(size / quota, 6) weight from
+            (select b.*, size, quota, row_number() over (partition by stratum order by md5('11-' || series_id), series_id) k from binned b join quotas using (stratum)) where k <= quota""", "l_partkey"),
+        "train_profile": _with(f"select series_id, demand_class, length, recent_nonzero from named join (select series_id, count(*) length, count(*) filter (v > 0 and ts > date '{CUT}' - 365) recent_nonzero from grid where ts <= date '{CUT}' group by 1) using (series_id)", "l_partkey", until=CUT),
+        "train_select": _with(f""", pool as (select series_id, demand_class from named join (select series_id, count(*) length, count(*) filter (v > 0 and ts > date '{CUT}' - 365) recent from grid where ts <= date '{CUT}' group by 1) using (series_id) where length >= {2 * H} and recent >= 2),
+          quota as (select least(count(*) filter (demand_class = 'intermittent'), floor(0.3 * count(*) filter (demand_class != 'intermittent') / 0.7 + 1e-9)) q from pool)
+          select series_id, demand_class from (select *, row_number() over (partition by demand_class order by md5('3-' || series_id), series_id) k from pool) where demand_class != 'intermittent' or k <= (select q from quota)""", "l_partkey", until=CUT),
+        "backtest_lifecycles": _with(""", owed as (select series_id, o as origin, first_ts, greatest(o - first_ts + 1, 0) age from hist, (values (date '1995-03-01'), (date '1995-03-15')) x(o) where first_ts <= o + 10),
+          rows_ as (select origin, series_id, case when age >= 20 then 'established' when age > 0 then 'short_history' else 'new' end lifecycle, (origin + h::int)::date ts from owed, range(1, 11) y(h)),
+          lasts as (select series_id, origin, arg_max(v, ts) filter (v is not null) last_v from grid join (select distinct origin from owed) on ts <= origin group by 1, 2)
+          select r.origin, lifecycle, count(distinct r.series_id) n_series, count(*) n_rows, count(*) n_pred, round(sum(case when lifecycle = 'established' then coalesce(last_v, 0) else 0 end), 6) pred, round(sum(g.y), 6) "true"
+          from rows_ r left join lasts using (series_id, origin) left join grid g on g.series_id = r.series_id and g.ts = r.ts group by 1, 2""", "l_partkey"),
+        "fold_origins": f"""with cuts as (select i, (date '{LAST}' - ({H} + 10 * i)::int)::date cutoff from range({-(-H // 10)}, {-(-H // 10) + 3}) x(i)),
+          folds as (select (row_number() over (order by cutoff) - 1)::int fold, cutoff, coalesce(lead(cutoff) over (order by cutoff), date '{LAST}' - {H}) until from cuts)
+          select fold, cutoff, (cutoff + k::int)::date origin from folds, range(0, 200, 5) y(k) where cutoff + k::int < until and cutoff + k::int + {H} <= date '{LAST}' - {H}
+          union select fold, cutoff, cutoff from folds""",
+        "stockout_col": "select cast(l_suppkey as varchar) series_id, count(*) filter (l_returnflag = 'R') n_out from lineitem group by 1",
+        "dedupe_first": _with("select series_id, ts, round(arg_min(y, ord), 6) y from raw group by 1, 2"),
+        "static_first_row": f"select cast(l_suppkey as varchar) series_id, arg_min(l_returnflag, (cast(l_shipdate as date), {_ORD[1:-1]})) l_returnflag, arg_min(l_linestatus, (cast(l_shipdate as date), {_ORD[1:-1]})) l_linestatus from lineitem group by 1",
+        "literals_in_filter": "select cast(l_suppkey as varchar) series_id, count(*) n from lineitem where l_returnflag is distinct from 'A|R & ~N' and l_linestatus in ('O', 'x|y') group by 1",
         "quantile_metrics": _with("""select bucket, round((2 * sum(greatest(0.1 * (y_true - 0.5 * y_pred), -0.9 * (y_true - 0.5 * y_pred))) + 2 * sum(greatest(0.9 * (y_true - 1.5 * y_pred), -0.1 * (y_true - 1.5 * y_pred)))) / 2 / sum(y_true), 6) wql,
           round(avg((y_true <= 0.5 * y_pred)::int), 6) cov_0_1, round(avg((y_true <= 1.5 * y_pred)::int), 6) cov_0_9 from bt where y_true is not null and not coalesce(stockout, false) group by 1"""),
         "quantile_interp": "select o_orderkey, round(o_totalprice * 0.5, 6) a, round(o_totalprice * 0.5 * 0.5 + o_totalprice * 0.5, 6) b, round(o_totalprice * 2, 6) c from orders",
