@@ -6,6 +6,7 @@ import hashlib
 import json
 import math
 import os
+import shutil
 from pathlib import Path
 
 #: Settings that don't change what is measured.
@@ -47,24 +48,26 @@ def verdict(run: dict, ref: dict | None, metric: str = "wape", threshold: float
     A run is better or worse only if the change passes the threshold and most folds agree.
     Runs hold ``overall`` (metric -> value), ``folds`` (fold -> value of the metric) and ``signature``.
     """
-    if not sound(run, max_missing):
-        return "inconclusive", None
-    if ref is None:
-        return "reference", None
-    if not sound(ref, max_missing):
-        return "inconclusive", None
+    trusted = sound(run, max_missing) and (ref is None or sound(ref, max_missing))
+    if not trusted or ref is None:
+        return ("reference" if trusted else "inconclusive"), None
     if run.get("signature") != ref.get("signature"):
         return "incomparable", None
+    change, votes = compared(run, ref, metric)
+    if change is None or abs(change) <= threshold:
+        return "inconclusive", change
+    better, worse = votes
+    named = {(True, True): "improved", (False, True): "regressed"}
+    return named.get((change < 0, (better > worse) if change < 0 else (worse > better)), "inconclusive"), change
+
+
+def compared(run: dict, ref: dict, metric: str) -> tuple[float | None, tuple[int, int]]:
+    """Relative change of the whole, and in how many common folds the run is below and not below the reference."""
     new, old = run["overall"].get(metric), ref["overall"].get(metric)
-    if not (_finite(new) and _finite(old) and old):
-        return "inconclusive", None
-    change = (new - old) / abs(old)
-    pairs = [(x, ref["folds"].get(k)) for k, x in run["folds"].items()]
-    wins = [x < y for x, y in pairs if _finite(x) and _finite(y)]
-    agree = 2 * sum(wins) - len(wins)  # above 0: most folds are better
-    if wins and abs(change) > threshold and change * agree < 0:
-        return ("improved" if change < 0 else "regressed"), change
-    return "inconclusive", change
+    change = (new - old) / abs(old) if _finite(new) and _finite(old) and old else None
+    common = [(x, ref["folds"][k]) for k, x in run["folds"].items() if _finite(x) and _finite(ref["folds"].get(k))]
+    below = sum(x < y for x, y in common)
+    return change, (below, len(common) - below)
 
 
 def reserve(ledger: str | os.PathLike, name: str) -> Path:
@@ -86,8 +89,14 @@ def reserve(ledger: str | os.PathLike, name: str) -> Path:
 def release(folder: Path) -> None:
     """Give back the number of a run that failed before it was recorded."""
     if not (folder / "run.json").exists():
-        folder.rmdir()
-        (folder.parent / f"{folder.name[:4]}.claim").unlink()
+        shutil.rmtree(folder, ignore_errors=True)
+        (folder.parent / f"{folder.name[:4]}.claim").unlink(missing_ok=True)
+
+
+def latest(ledger: str | os.PathLike, name: str) -> dict | None:
+    """The newest record of an experiment."""
+    found = sorted(Path(ledger).glob(f"*_{name}/run.json"))
+    return json.loads(found[-1].read_text()) if found else None
 
 
 def record(folder: Path, settings: dict, run: dict) -> None:
