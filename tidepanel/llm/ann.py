@@ -47,7 +47,7 @@ SPARE = 3
 #: Rows of a list that one task scans at once.
 PART = 8192
 #: Rows of a part after which the k-th distance is taken anew.
-CHUNK = 512
+CHUNK = 2048
 #: Columns of a block, and the tolerance of the test that abandons candidates.
 BLOCK = 16
 EPSILON = 2.1
