@@ -37,8 +37,8 @@ K = 5
 BANDS = 24
 SIMILARITY = 0.8
 #: Leads of a meeting place in one round at most, and by what the number grows from 1; Spark passes on only so many candidates a partition.
-LEADS = 512
-GROWTH = 4
+LEADS = 1024
+GROWTH = 16
 #: Counters of a text's words, to reject pairs early.
 BAG = 64
 #: Different words whose hashes a worker remembers.
