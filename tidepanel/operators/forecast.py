@@ -75,21 +75,23 @@ def seasonal_naive(state: DataFrame, horizon: int, season: int) -> DataFrame:
 
 
 def croston_rates(panel: DataFrame, origins: Iterable[date | str], alpha: float = 0.1, window: int = 365) -> DataFrame:
-    """``series_id, origin, rate``: the rate with bias correction, in closed form (weights fall by 1 - alpha with each later sale)."""
+    """``series_id, origin, rate`` of series that sold in the window: with bias correction, in closed form (weights fall by 1 - alpha with each later sale)."""
     days = _days(origins)
     inside = lambda d: (F.col("ts") <= d) & (F.col("ts") > F.date_sub(d, window))
     rows = panel.where(reduce(lambda a, b: a | b, map(inside, days))).withColumn("v", in_stock())
     rows = rows.withColumn("origin", F.explode(F.array_compact(F.array(*[F.when(inside(d), d) for d in days]))))
     by = Window.partitionBy("series_id", "origin").orderBy("ts")
     seen = rows.withColumn("n", F.count("v").over(by.rowsBetween(Window.unboundedPreceding, 0)))
-    hits = seen.withColumn("hit", F.coalesce(F.col("v") > 0, F.lit(False))).withColumn("k", F.when(F.col("hit"), F.count(F.when(F.col("hit"), 1)).over(by.rowsBetween(Window.unboundedPreceding, 0))))
-    hits = hits.withColumn("q", F.col("n") - F.coalesce(F.max(F.when(F.col("hit"), F.col("n"))).over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    hits = hits.withColumn("total", F.max("k").over(Window.partitionBy("series_id", "origin")))
-    weight = F.when(F.col("hit"), F.pow(F.lit(1 - alpha), F.col("total") - F.col("k")) * F.when(F.col("k") == 1, 1.0).otherwise(alpha))
-    rate = F.try_divide((1 - alpha / 2) * F.sum(F.col("v") * weight), F.sum(F.col("q") * weight))
-    return hits.groupBy("series_id", "origin").agg(F.coalesce(rate, F.lit(0.0)).alias("rate"))
+    hits = seen.where("v > 0")
+    hits = hits.withColumn("q", F.col("n") - F.coalesce(F.lag("n").over(by), F.lit(0))).withColumn("k", F.row_number().over(by))
+    hits = hits.withColumn("total", F.count(F.lit(1)).over(Window.partitionBy("series_id", "origin")))
+    weight = F.pow(F.lit(1 - alpha), F.col("total") - F.col("k")) * F.when(F.col("k") == 1, 1.0).otherwise(alpha)
+    return hits.groupBy("series_id", "origin").agg(((1 - alpha / 2) * F.sum(F.col("v") * weight) / F.sum(F.col("q") * weight)).alias("rate"))
 
 
 def croston(panel: DataFrame, origin: str, alpha: float = 0.1, window: int = 365) -> DataFrame:
-    """The rate of each series at one origin."""
-    return croston_rates(panel, [origin], alpha, window).drop("origin")
+    """The rate of each series with a row in the window of one origin; 0 without a sale."""
+    o = F.lit(origin).cast("date")
+    rows = panel.where((F.col("ts") <= o) & (F.col("ts") > F.date_sub(o, window)))
+    rates = croston_rates(panel, [origin], alpha, window).drop("origin")
+    return rows.select("series_id").distinct().join(rates, "series_id", "left").select("series_id", F.coalesce("rate", F.lit(0.0)).alias("rate"))
