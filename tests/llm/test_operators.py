@@ -434,7 +434,10 @@ def test_earlier_texts_of_a_group(block):
     assert not len(repeats.earlier(*flat([]), np.zeros(0, np.int64)))
 
 
-def test_near_classes_of_stars_and_chains_equal_all_pairs(spark):
+@pytest.mark.parametrize(("leads", "block"), [(16, 256), (1, 8)])
+def test_near_classes_of_stars_and_chains_equal_all_pairs(spark, monkeypatch, leads, block):
+    monkeypatch.setattr(near, "LEADS", leads)
+    monkeypatch.setattr(near, "BLOCK_TEXTS", block)
     draw = random.Random(8)
     words = lambda n: ["".join(draw.choice("abcdefgh") for _ in range(6)) for _ in range(n)]
     families = []

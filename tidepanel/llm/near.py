@@ -7,12 +7,14 @@ that ordered pair is equal. So a meeting needs common k-mers in common order, wh
 what edit similarity asks for. Texts that meet are compared by an alignment of their words
 within a band; they are linked if at least ``SIMILARITY`` of the longer one's words stay.
 
-Equal texts are one node from the start. Where many texts meet, one of them (the lead) is
-compared with all that aren't in its component yet, then more leads are, those with most
-links first, until all texts there are leads or in one component. So every pair that meets
-is linked, rejected or in one component; no number of rounds or texts ends it. A pair whose
-counts of words already differ too much is rejected without an alignment. Components are
-found by label propagation with pointer jumping; nothing is collected.
+Equal texts are one node from the start. Where texts meet, one of them (the lead) is compared
+with all others, then ``LEADS`` of those left, those with most links first, are compared with
+all that aren't in their component. The texts of a place that are still apart are dealt into
+blocks of about ``BLOCK_TEXTS``, by their number of words in large places, and blocks are
+compared with each other: a worker passes on only pairs of two components whose counts of
+words allow the similarity, and these are aligned. So every pair that meets is linked,
+rejected or in one component; no number of rounds or texts ends it. Components are found by
+label propagation with pointer jumping; nothing is collected.
 
 Defined results: null and empty texts are equal texts; texts of fewer than ``K`` words have
 one k-mer, all their words; texts without a word are only like equal ones; class_id is the
@@ -24,8 +26,10 @@ take no part.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -36,11 +40,13 @@ from tidepanel.llm.common import arrow_rows, cut, fresh_names, row_order, text_o
 K = 5
 BANDS = 24
 SIMILARITY = 0.8
-#: Leads of a meeting place in one round at most, and by what the number grows from 1; Spark passes on only so many candidates a partition.
-LEADS = 1024
-GROWTH = 16
-#: Counters of a text's words, to reject pairs early.
+#: Leads of a meeting place in the second round; Spark passes on only so many candidates a partition.
+LEADS = 16
+#: Texts of a block, on average at most.
+BLOCK_TEXTS = 256
+#: Counters of a text's words, to reject pairs early; in blocks, where a text's counters serve many pairs, there are more.
 BAG = 64
+WIDE = 1024
 #: Different words whose hashes a worker remembers.
 MEMO = 400_000
 #: Cells over which the members of a class are dealt.
@@ -232,25 +238,92 @@ def _verify(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return arrow_rows(both, step, "node binary, lead binary, sim double")
 
 
-def bag(words: list[str]) -> bytes:
-    """Numbers of the words in ``BAG`` classes; a counter stops at its largest value."""
+def bag(words: list[str], size: int = BAG, kind: str = "<u2") -> bytes:
+    """Numbers of the words in ``size`` classes; a counter stops at its largest value."""
     if len(_memo) > MEMO:
         _memo.clear()
     h = np.fromiter(map(_memo.__getitem__, words), np.uint64, len(words))
-    return np.bincount((h % np.uint64(BAG)).astype(np.int64), minlength=BAG).clip(max=65535).astype("<u2").tobytes()
+    return np.bincount((h % np.uint64(size)).astype(np.int64), minlength=size).clip(max=np.iinfo(kind).max).astype(kind).tobytes()
+
+
+def _uncounted(bags: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Words beyond what stopped counters hold."""
+    return n - bags.sum(1, dtype=np.int64)
+
+
+def _may_be_alike(a: np.ndarray, b: np.ndarray, more: np.ndarray, longest: np.ndarray, least: float) -> np.ndarray:
+    """Whether counts of words allow the similarity: each edit changes the common count by at most one."""
+    common = np.minimum(a, b).sum(1, dtype=np.int64) + more
+    return longest - common <= ((1 - least) * longest + 1e-9).astype(np.int64)
+
+
+def _block_pairs(left: list[dict], right: list[dict] | None, least: float) -> Iterator[tuple[bytes, bytes]]:
+    """Pairs of two blocks, or within one, of different components and possibly alike."""
+    rows = left if right is None else left + right
+    bags = np.frombuffer(b"".join(x["bag"] for x in rows), np.uint8).reshape(-1, WIDE)
+    n = np.array([x["n"] for x in rows], np.int64)
+    more = _uncounted(bags, n)
+    numbers: dict[bytes, int] = {}
+    comp = np.array([numbers.setdefault(x["comp"], len(numbers)) for x in rows], np.int64)
+    for i in range(len(left)):
+        start = i + 1 if right is None else len(left)
+        longest = np.maximum(n[start:], n[i])
+        near = longest - np.minimum(n[start:], n[i]) <= ((1 - least) * longest + 1e-9).astype(np.int64)
+        at = start + np.flatnonzero(near & (comp[start:] != comp[i]))
+        for j in at[_may_be_alike(bags[i], bags[at], np.minimum(more[i], more[at]), longest[at - start], least)]:
+            yield rows[i]["node"], rows[j]["node"]
+
+
+def _pairs_in_blocks(rest: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """``b, node, comp`` -> ``node, lead``: pairs that meet, are of two components and possibly alike.
+
+    In a place of more than a block's texts, those whose numbers of words differ by more than
+    one class can't be alike; classes are dealt into blocks by a hash of the text.
+    """
+    width = math.log(1.001 / max(least, 1e-6))  # a little wider than the widest ratio, so rounding loses nothing
+
+    def count(cols: dict[str, list]) -> dict[str, list]:
+        found = [words_of(t) for t in cols["t"]]
+        return {"w": cols["tid"], "n": [len(w) for w in found], "bag": [bag(w, WIDE, "u1") for w in found], "class": [int(math.log(len(w)) / width) for w in found]}
+
+    own = texts.join(rest.select(F.col("node").alias("r")).distinct(), F.col("tid") == F.col("r"), "left_semi")
+    of = arrow_rows(own.select("tid", "t"), count, "w binary, n int, bag binary, class int")
+    sized = cut(rest.join(of, F.col("node") == F.col("w")).drop("w"), "sized")
+    counts = sized.groupBy(F.col("b").alias("p"), F.col("class").alias("q")).agg(F.count(F.lit(1)).alias("n_q"))
+    counts = counts.withColumn("n_p", F.sum("n_q").over(Window.partitionBy("p")))
+    small = F.col("n_p") <= BLOCK_TEXTS
+    cells = cut(counts.select("p", "q", F.when(small, -2).otherwise(F.col("q")).alias("cell"), F.when(small, 1).otherwise(F.ceil(F.col("n_q") / BLOCK_TEXTS)).cast("int").alias("parts")), "cells")
+    dealt = sized.join(cells, F.expr("b = p and class = q")).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    blocks = cut(dealt.groupBy("b", "cell", "part").agg(F.collect_list(F.struct("node", "comp", "n", "bag")).alias("texts")), "blocks")
+
+    def within(cols: dict[str, list]) -> dict[str, list]:
+        found = [pair for texts in cols["texts"] for pair in _block_pairs(texts, None, least)]
+        return {"node": [max(x) for x in found], "lead": [min(x) for x in found]}
+
+    def across(cols: dict[str, list]) -> dict[str, list]:
+        found = [pair for x, y in zip(cols["x"], cols["y"], strict=True) for pair in _block_pairs(x, y, least)]
+        return {"node": [max(x) for x in found], "lead": [min(x) for x in found]}
+
+    large = cells.where("cell > -2").select("p", F.col("cell").alias("c1"), F.col("parts").alias("m1"))
+    other = large.select(F.col("p").alias("p2"), F.col("c1").alias("c2"), F.col("m1").alias("m2"))
+    two = large.join(other, F.expr("p = p2 and (c2 = c1 or c2 = c1 + 1)"))
+    two = two.select("p", "c1", "c2", F.explode(F.sequence(F.lit(0), F.col("m1") - 1)).alias("i"), "m2")
+    two = two.select("p", "c1", "c2", "i", F.explode(F.sequence(F.lit(0), F.col("m2") - 1)).alias("j")).where("c1 < c2 or i < j")
+    one = two.join(blocks.select("b", "cell", "part", F.col("texts").alias("x")), F.expr("p = b and c1 = cell and i = part")).select("p", "c2", "j", "x")
+    both = one.join(blocks.select("b", "cell", "part", F.col("texts").alias("y")), F.expr("p = b and c2 = cell and j = part")).select("x", "y")
+    kind = "node binary, lead binary"
+    return arrow_rows(blocks.select("texts"), within, kind).unionByName(arrow_rows(both, across, kind)).distinct()
 
 
 def _possible(pairs: DataFrame, bags: DataFrame, least: float) -> DataFrame:
-    """``node, lead`` without those that can't be similar: each edit changes the common count of words by at most one."""
+    """``node, lead`` without those whose counts of words rule the similarity out."""
     one = pairs.join(bags.select(F.col("tid").alias("node"), F.col("n").alias("na"), F.col("bag").alias("a")), "node")
     both = one.join(bags.select(F.col("tid").alias("lead"), F.col("n").alias("nb"), F.col("bag").alias("b")), "lead").select("node", "lead", "na", "nb", "a", "b")
 
     def step(cols: dict[str, list]) -> dict[str, list]:
-        a, b = (np.frombuffer(b"".join(cols[x]), "<u2").reshape(-1, BAG).astype(np.int64) for x in "ab")
+        a, b = (np.frombuffer(b"".join(cols[x]), "<u2").reshape(-1, BAG) for x in "ab")
         na, nb = np.array(cols["na"], np.int64), np.array(cols["nb"], np.int64)
-        common = np.minimum(a, b).sum(1) + np.minimum(na - a.sum(1), nb - b.sum(1))
-        longest = np.maximum(na, nb)
-        keep = longest - common <= ((1 - least) * longest + 1e-9).astype(np.int64)
+        keep = _may_be_alike(a, b, np.minimum(_uncounted(a, na), _uncounted(b, nb)), np.maximum(na, nb), least)
         return {x: [v for v, kept in zip(cols[x], keep, strict=True) if kept] for x in ("node", "lead")}
 
     return arrow_rows(both, step, "node binary, lead binary")
@@ -281,35 +354,43 @@ def linked(docs: DataFrame, least: float = SIMILARITY, k: int = K, bands: int =
     kind = docs.schema["doc_id"].dataType.simpleString()
     sketched = cut(arrow_rows(rows, step, f"doc_id {kind}, tid binary, keys array<bigint>, n int, bag binary"), "sketches")
     keyed = sketched.select(F.col("tid").alias("node"), F.posexplode("keys").alias("pos", "key")).select(F.xxhash64("pos", "key").alias("b"), "node").distinct()
-    places = keyed.groupBy(F.col("b").alias("p")).agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first != last").select("p")
-    meets = cut(keyed.join(places, F.col("b") == F.col("p"), "left_semi"), "meets")
+    places = keyed.groupBy(F.col("b").alias("p")).agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first != last")
+    meets = cut(keyed.join(places, F.col("b") == F.col("p")).select("b", "node", "first"), "meets")
     wanted = cut(meets.select(F.col("node").alias("w")).distinct(), "wanted")
     texts = cut(rows.groupBy("tid").agg(F.first("t").alias("t")).join(wanted, F.col("tid") == F.col("w"), "left_semi"), "texts")
     bags = cut(sketched.groupBy("tid").agg(F.first("n").alias("n"), F.first("bag").alias("bag")).join(wanted, F.col("tid") == F.col("w"), "left_semi"), "bags")
     label = wanted.select(F.col("w").alias("node"), F.col("w").alias("comp"))
-    seen: DataFrame | None = None
-    many = 1
-    while True:
-        held = meets.join(label.withColumnRenamed("node", "n"), F.col("node") == F.col("n")).select("b", "node", "comp")
-        if seen is not None:
-            ends = seen.where("sim > 0").select(F.explode(F.array("node", "lead")).alias("e")).groupBy("e").agg(F.count(F.lit(1)).alias("degree"))
-            held = held.join(ends, F.col("node") == F.col("e"), "left").select("b", "node", "comp", F.coalesce("degree", F.lit(0)).alias("degree"))
-        else:
-            held = held.withColumn("degree", F.lit(0))
-        mixed = held.groupBy(F.col("b").alias("p")).agg(F.min("comp").alias("first"), F.max("comp").alias("last")).where("first != last").select("p")
-        held = cut(held.join(mixed, F.col("b") == F.col("p"), "left_semi"), "held")
-        if held.isEmpty():
-            return sketched.select("doc_id", "tid"), label
-        ranked = held.withColumn("nth", F.row_number().over(Window.partitionBy("b").orderBy(F.desc("degree"), "node")))
-        leads = cut(ranked.where(F.col("nth") <= many).select(F.col("b").alias("p"), F.col("node").alias("l"), F.col("comp").alias("c")), "leads")
-        pairs = held.join(leads, F.expr("b = p")).where("comp != c").select(F.greatest("node", "l").alias("node"), F.least("node", "l").alias("lead")).distinct()
-        if seen is not None:
-            pairs = pairs.join(seen.select("node", "lead"), ["node", "lead"], "left_anti")
-        new = cut(_verify(_possible(pairs, bags, least), texts, least), "verified")
-        seen = new if seen is None else seen.unionByName(new)
+    rest = meets.where("node != first")
+    # each place's smallest text against the others
+    seen = cut(_verify(_possible(rest.select("node", F.col("first").alias("lead")).distinct(), bags, least), texts, least), "verified")
+    label = _relabelled(label, seen.where("sim > 0").select("node", "lead"))
+    held = _apart(rest, label)
+    if held.isEmpty():
+        return sketched.select("doc_id", "tid"), label
+    # those with most links against the ones of other components
+    ends = seen.where("sim > 0").select(F.explode(F.array("node", "lead")).alias("e")).groupBy("e").agg(F.count(F.lit(1)).alias("degree"))
+    linked_most = held.join(ends, F.col("node") == F.col("e"), "left").select("b", "node", "comp", F.coalesce("degree", F.lit(0)).alias("degree"))
+    ranked = linked_most.withColumn("nth", F.row_number().over(Window.partitionBy("b").orderBy(F.desc("degree"), "node")))
+    leads = cut(ranked.where(F.col("nth") <= LEADS).select(F.col("b").alias("p"), F.col("node").alias("l"), F.col("comp").alias("c")), "leads")
+    pairs = held.join(leads, F.expr("b = p")).where("comp != c").select(F.greatest("node", "l").alias("node"), F.least("node", "l").alias("lead")).distinct()
+    new = cut(_verify(_possible(pairs.join(seen.select("node", "lead"), ["node", "lead"], "left_anti"), bags, least), texts, least), "verified")
+    label = _relabelled(label, new.where("sim > 0").select("node", "lead"))
+    held = _apart(held.join(leads, F.expr("b = p and node = l"), "left_anti"), label)
+    if not held.isEmpty():
+        # all that is still apart, in blocks
+        seen = seen.unionByName(new)
+        pairs = cut(_pairs_in_blocks(held, texts, least).join(seen.select("node", "lead"), ["node", "lead"], "left_anti"), "pairs")
+        new = cut(_verify(pairs, texts, least), "verified")
         label = _relabelled(label, new.where("sim > 0").select("node", "lead"))
-        meets = held.join(leads, F.expr("b = p and node = l"), "left_anti").select("b", "node")
-        many = min(many * GROWTH, LEADS)
+    return sketched.select("doc_id", "tid"), label
+
+
+def _apart(meets: DataFrame, label: DataFrame) -> DataFrame:
+    """``b, node, comp`` of the places whose texts are of more than one component."""
+    at = label.withColumnRenamed("node", "n")
+    held = cut(meets.select("b", "node").join(at, F.col("node") == F.col("n")).select("b", "node", "comp"), "at")
+    mixed = held.groupBy(F.col("b").alias("p")).agg(F.min("comp").alias("first"), F.max("comp").alias("last")).where("first != last").select("p")
+    return cut(held.join(mixed, F.col("b") == F.col("p"), "left_semi"), "held")
 
 
 def components(edges: DataFrame) -> DataFrame:
