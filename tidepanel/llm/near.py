@@ -49,6 +49,8 @@ BAG = 64
 WIDE = 1024
 #: Different words whose hashes a worker remembers.
 MEMO = 400_000
+#: Ids of texts, of 16 bytes, that are broadcast to pick texts before they are shuffled; more ids are joined by a shuffle.
+FEW_IDS = 1_000_000
 #: Cells over which the members of a class are dealt.
 SALTS = 64
 #: Words in a block of the alignment's bit table.
@@ -257,8 +259,16 @@ def _may_be_alike(a: np.ndarray, b: np.ndarray, more: np.ndarray, longest: np.nd
     return longest - common <= ((1 - least) * longest + 1e-9).astype(np.int64)
 
 
-def _block_pairs(left: list[dict], right: list[dict] | None, least: float) -> Iterator[tuple[bytes, bytes]]:
-    """Pairs of two blocks, or within one, of different components and possibly alike."""
+def _sizes_allow(a: Column, b: Column, least: float) -> Column:
+    """Whether two numbers of words allow the similarity."""
+    return F.greatest(a, b) - F.least(a, b) <= F.floor((1 - least) * F.greatest(a, b) + 1e-9)
+
+
+def _block_pairs(place: int, left: list[dict], right: list[dict] | None, least: float) -> Iterator[tuple[bytes, bytes]]:
+    """Pairs of two blocks, or within one, of different components and possibly alike.
+
+    Texts that meet at several places are a pair at the one with the smallest number only.
+    """
     rows = left if right is None else left + right
     bags = np.frombuffer(b"".join(x["bag"] for x in rows), np.uint8).reshape(-1, WIDE)
     n = np.array([x["n"] for x in rows], np.int64)
@@ -270,8 +280,10 @@ def _block_pairs(left: list[dict], right: list[dict] | None, least: float) -> It
         longest = np.maximum(n[start:], n[i])
         near = longest - np.minimum(n[start:], n[i]) <= ((1 - least) * longest + 1e-9).astype(np.int64)
         at = start + np.flatnonzero(near & (comp[start:] != comp[i]))
+        own = set(left[i]["places"])
         for j in at[_may_be_alike(bags[i], bags[at], np.minimum(more[i], more[at]), longest[at - start], least)]:
-            yield rows[i]["node"], rows[j]["node"]
+            if next(x for x in rows[j]["places"] if x in own) == place:
+                yield rows[i]["node"], rows[j]["node"]
 
 
 def _pairs_in_blocks(rest: DataFrame, texts: DataFrame, least: float) -> DataFrame:
@@ -284,24 +296,25 @@ def _pairs_in_blocks(rest: DataFrame, texts: DataFrame, least: float) -> DataFra
 
     def count(cols: dict[str, list]) -> dict[str, list]:
         found = [words_of(t) for t in cols["t"]]
-        return {"w": cols["tid"], "n": [len(w) for w in found], "bag": [bag(w, WIDE, "u1") for w in found], "class": [int(math.log(len(w)) / width) for w in found]}
+        return {"w": cols["tid"], "n": [len(w) for w in found], "bag": [bag(w, WIDE, "u1") for w in found], "class": [int(math.log(len(w)) / width) for w in found], "places": cols["places"]}
 
-    own = texts.join(rest.select(F.col("node").alias("r")).distinct(), F.col("tid") == F.col("r"), "left_semi")
-    of = arrow_rows(own.select("tid", "t"), count, "w binary, n int, bag binary, class int")
-    sized = cut(rest.join(of, F.col("node") == F.col("w")).drop("w"), "sized")
+    at = rest.groupBy(F.col("node").alias("r")).agg(F.array_sort(F.collect_set("b")).alias("places"))  # as many as bands at most
+    own = texts.join(at, F.col("tid") == F.col("r")).select("tid", "t", "places")
+    of = arrow_rows(own, count, "w binary, n int, bag binary, class int, places array<bigint>")
+    sized = cut(rest.select("b", "node", "comp").join(of, F.col("node") == F.col("w")).drop("w"), "sized")
     counts = sized.groupBy(F.col("b").alias("p"), F.col("class").alias("q")).agg(F.count(F.lit(1)).alias("n_q"))
     counts = counts.withColumn("n_p", F.sum("n_q").over(Window.partitionBy("p")))
     small = F.col("n_p") <= BLOCK_TEXTS
     cells = cut(counts.select("p", "q", F.when(small, -2).otherwise(F.col("q")).alias("cell"), F.when(small, 1).otherwise(F.ceil(F.col("n_q") / BLOCK_TEXTS)).cast("int").alias("parts")), "cells")
     dealt = sized.join(cells, F.expr("b = p and class = q")).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    blocks = cut(dealt.groupBy("b", "cell", "part").agg(F.collect_list(F.struct("node", "comp", "n", "bag")).alias("texts")), "blocks")
+    blocks = cut(dealt.groupBy("b", "cell", "part").agg(F.collect_list(F.struct("node", "comp", "n", "bag", "places")).alias("texts")), "blocks")
 
     def within(cols: dict[str, list]) -> dict[str, list]:
-        found = [pair for texts in cols["texts"] for pair in _block_pairs(texts, None, least)]
+        found = [pair for b, texts in zip(cols["b"], cols["texts"], strict=True) for pair in _block_pairs(b, texts, None, least)]
         return {"node": [max(x) for x in found], "lead": [min(x) for x in found]}
 
     def across(cols: dict[str, list]) -> dict[str, list]:
-        found = [pair for x, y in zip(cols["x"], cols["y"], strict=True) for pair in _block_pairs(x, y, least)]
+        found = [pair for b, x, y in zip(cols["p"], cols["x"], cols["y"], strict=True) for pair in _block_pairs(b, x, y, least)]
         return {"node": [max(x) for x in found], "lead": [min(x) for x in found]}
 
     large = cells.where("cell > -2").select("p", F.col("cell").alias("c1"), F.col("parts").alias("m1"))
@@ -310,9 +323,9 @@ def _pairs_in_blocks(rest: DataFrame, texts: DataFrame, least: float) -> DataFra
     two = two.select("p", "c1", "c2", F.explode(F.sequence(F.lit(0), F.col("m1") - 1)).alias("i"), "m2")
     two = two.select("p", "c1", "c2", "i", F.explode(F.sequence(F.lit(0), F.col("m2") - 1)).alias("j")).where("c1 < c2 or i < j")
     one = two.join(blocks.select("b", "cell", "part", F.col("texts").alias("x")), F.expr("p = b and c1 = cell and i = part")).select("p", "c2", "j", "x")
-    both = one.join(blocks.select("b", "cell", "part", F.col("texts").alias("y")), F.expr("p = b and c2 = cell and j = part")).select("x", "y")
+    both = one.join(blocks.select("b", "cell", "part", F.col("texts").alias("y")), F.expr("p = b and c2 = cell and j = part")).select("p", "x", "y")
     kind = "node binary, lead binary"
-    return arrow_rows(blocks.select("texts"), within, kind).unionByName(arrow_rows(both, across, kind)).distinct()
+    return arrow_rows(blocks.select("b", "texts"), within, kind).unionByName(arrow_rows(both, across, kind))
 
 
 def _possible(pairs: DataFrame, bags: DataFrame, least: float) -> DataFrame:
@@ -353,26 +366,33 @@ def linked(docs: DataFrame, least: float = SIMILARITY, k: int = K, bands: int =
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     sketched = cut(arrow_rows(rows, step, f"doc_id {kind}, tid binary, keys array<bigint>, n int, bag binary"), "sketches")
-    keyed = sketched.select(F.col("tid").alias("node"), F.posexplode("keys").alias("pos", "key")).select(F.xxhash64("pos", "key").alias("b"), "node").distinct()
-    places = keyed.groupBy(F.col("b").alias("p")).agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first != last")
-    meets = cut(keyed.join(places, F.col("b") == F.col("p")).select("b", "node", "first"), "meets")
+    each = sketched.groupBy(F.col("tid").alias("node")).agg(*[F.first(c).alias(c) for c in ("keys", "n", "bag")])
+    each = cut(each, "each")
+    # one exchange serves the smallest text of each place and all that meet it
+    keyed = each.select("node", "n", F.posexplode("keys").alias("pos", "key")).select(F.xxhash64("pos", "key").alias("b"), "node", "n").repartition("b")
+    places = keyed.groupBy(F.col("b").alias("p")).agg(F.min(F.struct("node", "n")).alias("first"), F.max("node").alias("last")).where("first.node != last")
+    met = keyed.join(places, F.col("b") == F.col("p"))
+    meets = cut(met.select("b", "node", "n", F.col("first.node").alias("first"), F.col("first.n").alias("n_first")), "meets")
     wanted = cut(meets.select(F.col("node").alias("w")).distinct(), "wanted")
-    texts = cut(rows.groupBy("tid").agg(F.first("t").alias("t")).join(wanted, F.col("tid") == F.col("w"), "left_semi"), "texts")
-    bags = cut(sketched.groupBy("tid").agg(F.first("n").alias("n"), F.first("bag").alias("bag")).join(wanted, F.col("tid") == F.col("w"), "left_semi"), "bags")
+    picked = F.broadcast(wanted) if wanted.count() <= FEW_IDS else wanted
+    texts = cut(rows.join(picked, F.col("tid") == F.col("w"), "left_semi").groupBy("tid").agg(F.first("t").alias("t")), "texts")
+    bags = cut(each.select(F.col("node").alias("tid"), "n", "bag").join(picked, F.col("tid") == F.col("w"), "left_semi"), "bags")
     label = wanted.select(F.col("w").alias("node"), F.col("w").alias("comp"))
     rest = meets.where("node != first")
     # each place's smallest text against the others
-    seen = cut(_verify(_possible(rest.select("node", F.col("first").alias("lead")).distinct(), bags, least), texts, least), "verified")
+    pairs = rest.where(_sizes_allow(F.col("n"), F.col("n_first"), least)).select("node", F.col("first").alias("lead")).distinct()
+    seen = cut(_verify(_possible(pairs, bags, least), texts, least), "verified")
     label = _relabelled(label, seen.where("sim > 0").select("node", "lead"))
     held = _apart(rest, label)
     if held.isEmpty():
         return sketched.select("doc_id", "tid"), label
     # those with most links against the ones of other components
     ends = seen.where("sim > 0").select(F.explode(F.array("node", "lead")).alias("e")).groupBy("e").agg(F.count(F.lit(1)).alias("degree"))
-    linked_most = held.join(ends, F.col("node") == F.col("e"), "left").select("b", "node", "comp", F.coalesce("degree", F.lit(0)).alias("degree"))
+    linked_most = held.join(ends, F.col("node") == F.col("e"), "left").select("b", "node", "n", "comp", F.coalesce("degree", F.lit(0)).alias("degree"))
     ranked = linked_most.withColumn("nth", F.row_number().over(Window.partitionBy("b").orderBy(F.desc("degree"), "node")))
-    leads = cut(ranked.where(F.col("nth") <= LEADS).select(F.col("b").alias("p"), F.col("node").alias("l"), F.col("comp").alias("c")), "leads")
-    pairs = held.join(leads, F.expr("b = p")).where("comp != c").select(F.greatest("node", "l").alias("node"), F.least("node", "l").alias("lead")).distinct()
+    leads = cut(ranked.where(F.col("nth") <= LEADS).select(F.col("b").alias("p"), F.col("node").alias("l"), F.col("comp").alias("c"), F.col("n").alias("m")), "leads")
+    pairs = held.join(leads, F.expr("b = p")).where((F.col("comp") != F.col("c")) & _sizes_allow(F.col("n"), F.col("m"), least))
+    pairs = pairs.select(F.greatest("node", "l").alias("node"), F.least("node", "l").alias("lead")).distinct()
     new = cut(_verify(_possible(pairs.join(seen.select("node", "lead"), ["node", "lead"], "left_anti"), bags, least), texts, least), "verified")
     label = _relabelled(label, new.where("sim > 0").select("node", "lead"))
     held = _apart(held.join(leads, F.expr("b = p and node = l"), "left_anti"), label)
@@ -386,9 +406,9 @@ def linked(docs: DataFrame, least: float = SIMILARITY, k: int = K, bands: int =
 
 
 def _apart(meets: DataFrame, label: DataFrame) -> DataFrame:
-    """``b, node, comp`` of the places whose texts are of more than one component."""
-    at = label.withColumnRenamed("node", "n")
-    held = cut(meets.select("b", "node").join(at, F.col("node") == F.col("n")).select("b", "node", "comp"), "at")
+    """``b, node, n, comp`` of the places whose texts are of more than one component."""
+    at = label.withColumnRenamed("node", "a")
+    held = cut(meets.select("b", "node", "n").join(at, F.col("node") == F.col("a")).select("b", "node", "n", "comp"), "at")
     mixed = held.groupBy(F.col("b").alias("p")).agg(F.min("comp").alias("first"), F.max("comp").alias("last")).where("first != last").select("p")
     return cut(held.join(mixed, F.col("b") == F.col("p"), "left_semi"), "held")
 
